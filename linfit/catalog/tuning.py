@@ -7,7 +7,7 @@ import re
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import PolynomialExpansion, StandardScaler
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linfit.catalog.base import (
@@ -26,7 +26,6 @@ from linfit.operators.instances import pack_blocks, spread
 from linfit.operators.logistic import Fit, fit_many, graded_terms
 from linfit.operators.resample import (
     bernoulli_sample,
-    fold_pairs,
     holdout,
     random_split,
     union_all,
@@ -85,16 +84,11 @@ def kfold_assign(spark: SparkSession, folder: str) -> DataFrame:
         FROM lines CROSS JOIN range({FOLDS}) AS folds(f) GROUP BY f""",
 )
 def kfold_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Sizes of every (train, test) pair from one count per fold; the window spans k rows."""
     table = with_fold(lines(spark, folder).select(*KEYS), KEYS, FOLDS, hash_fn="md5")
-    sides = [
-        part.select(F.lit(i).alias("fold"), F.lit(at).alias("is_test"))
-        for i, pair in enumerate(fold_pairs(table, FOLDS))
-        for at, part in enumerate(pair)
-    ]
-    return union_all(sides).groupBy("fold").agg(
-        F.count_if(F.col("is_test") == 0).alias("train"),
-        F.count_if(F.col("is_test") == 1).alias("test"),
-    )
+    counts = table.groupBy("fold").agg(F.count(F.lit(1)).alias("test"))
+    whole = F.sum("test").over(Window.partitionBy())
+    return counts.select("fold", (whole - F.col("test")).alias("train"), "test")
 
 
 @query(
@@ -206,7 +200,7 @@ def cv_mean_scores(spark: SparkSession, folder: str) -> DataFrame:
 _BEST_ORDER = "ORDER BY score DESC NULLS LAST, degree, l2 LIMIT 1"
 
 
-@query("cv_best", f"WITH {_search_sql()} {_MEANS_SQL} {_BEST_ORDER.replace('l2', 'lambda')}")
+@query("cv_best", f"WITH {_search_sql()} {_MEANS_SQL} {_BEST_ORDER}")
 def cv_best(spark: SparkSession, folder: str) -> DataFrame:
     found = best_score(search(spark, folder).scores())
     return found.withColumn("score", rounded("score", 9))

@@ -46,7 +46,7 @@ class Scaling:
             F.array(*[F.lit(m) for m in shift]).alias("m"),
             F.array(*[F.lit(f) for f in factor]).alias("f"),
         )
-        return F.zip_with(x, pairs, lambda v, p: (v - p["0"]) * p["1"])
+        return F.zip_with(x, pairs, lambda v, p: (v - p["m"]) * p["f"])
 
 
 def fit_scaling(df: DataFrame, features: str = "features") -> Scaling:

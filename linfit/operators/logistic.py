@@ -137,7 +137,7 @@ def fit_many(
 
 def _step(fit: Fit, sums: np.ndarray, newton: bool, fit_intercept: bool) -> None:
     m = len(fit.terms)
-    slope, intercept_slope, loss, rows = sums[:m], sums[m], sums[m + 1], sums[m + 2]
+    slope, intercept_slope, loss, rows = sums[:m], sums[m], sums[m + 1], np.rint(sums[m + 2])
     if rows == 0:
         raise ValueError("a fold leaves no rows to train on")
     done = len(fit.losses)
@@ -198,7 +198,7 @@ def confusion_many(blocks: Blocks, fits: Sequence[Fit], threshold: float = 0.5)
     )
     partials = blocks.df.select("y", "fold", "x").mapInArrow(kernel, kernels.PARTIAL_SCHEMA)
     counts = {r.fit: r.part for r in sum_partials(partials, blocks.partitions).collect()}
-    return np.array([counts[i] for i in chosen]).astype(np.int64)
+    return np.rint([counts[i] for i in chosen]).astype(np.int64)
 
 
 def check_threshold(threshold: float) -> None:

@@ -25,7 +25,10 @@ TREE_PARTITIONS = 1024
 
 
 def sum_partials(partials: DataFrame, partitions: int = 0) -> DataFrame:
-    """Element-wise sum of ``part`` per ``fit``."""
+    """Element-wise sum of ``part`` per ``fit``.
+
+    The summarizer keeps running means, so a sum of whole numbers may be off in the last bit.
+    """
 
     def add_up(df: DataFrame, *keys: str) -> DataFrame:
         return df.groupBy(*keys).agg(
