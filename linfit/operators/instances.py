@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -62,6 +64,20 @@ class Blocks:
     rows: int
     partitions: int
 
+    @contextmanager
+    def reading(self) -> Iterator[DataFrame]:
+        """The blocks for a pass; within this context Arrow batches hold about a megabyte.
+
+        The session's default of 10,000 records would put a whole partition into one batch.
+        """
+        conf, name = self.df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = conf.get(name)
+        conf.set(name, str(kernels.BATCH_BYTES // kernels.BLOCK_BYTES))
+        try:
+            yield self.df.select("y", "fold", "x")
+        finally:
+            conf.set(name, before)
+
     def __enter__(self) -> "Blocks":
         return self
 
@@ -72,7 +88,7 @@ class Blocks:
 def pack_blocks(
     df: DataFrame, label: str = "label", features: str = "features", fold: str | None = None
 ) -> Blocks:
-    """Cache binary-labelled instances as dense blocks of up to 8192 rows.
+    """Cache binary-labelled instances as small dense blocks.
 
     An iterative fit reads its table once per step. Handing Python whole matrices instead of
     rows leaves only linear algebra in that loop. Blocks are cut within partitions, so nothing

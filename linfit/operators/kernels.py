@@ -18,11 +18,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 Batches = Iterator[pa.RecordBatch]
 
-BLOCK_ROWS = 8192
+# Blocks and the batches they travel in stay small enough that the JVM fills one batch while
+# Python works on the one before, and both keep to their caches.
+BLOCK_BYTES = 1 << 17
+BATCH_BYTES = 1 << 20
 BLOCK_SCHEMA = (
     "rows long, unusable long, min_width int, max_width int, y binary, fold binary, x binary"
 )
-PARTIAL_SCHEMA = "fit int, part array<double>"
 
 
 def partial_batch(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
@@ -50,8 +52,11 @@ def matrix(vectors: pa.ListArray) -> np.ndarray:
 def pack(batches: Batches) -> Batches:
     """Rows of (label, fold, features) to one record per block, features by columns."""
     for batch in batches:
-        for start in range(0, batch.num_rows, BLOCK_ROWS):
-            yield _pack_block(batch.slice(start, BLOCK_ROWS))
+        if batch.num_rows:
+            values = max(1, len(batch.column(2).flatten()))
+            rows = max(64, BLOCK_BYTES * batch.num_rows // (8 * values))
+            for start in range(0, batch.num_rows, rows):
+                yield _pack_block(batch.slice(start, rows))
 
 
 def _pack_block(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -18,7 +18,7 @@ from linfit.operators import kernels
 from linfit.operators.errors import DivergedError
 from linfit.operators.instances import Blocks, pack_blocks
 from linfit.operators.linear import solve_positive_definite
-from linfit.operators.moments import gram, sum_partials
+from linfit.operators.moments import PARTIALS, gram, part_sum, sum_partials
 
 NO_FOLD = -2  # a held-out fold no row belongs to
 FIRST_DELTA = 100.0  # loss change assumed before the second loss is known
@@ -113,7 +113,20 @@ def fit_many(
     for fit in fits:
         fit.theta, fit.intercept = np.zeros(len(fit.terms)), 0.0
         fit.losses, fit.rate, fit.delta = [], float(learning_rate), FIRST_DELTA
-    newton = method == "newton"
+    with blocks.reading() as read:
+        _run_passes(blocks, read, fits, method == "newton", max_iter, tol, fit_intercept)
+
+
+def _run_passes(
+    blocks: Blocks,
+    read: DataFrame,
+    fits: Sequence[Fit],
+    newton: bool,
+    max_iter: int,
+    tol: float,
+    fit_intercept: bool,
+) -> None:
+    total = part_sum()
     while True:
         active = {
             i: f for i, f in enumerate(fits) if len(f.losses) < max_iter and f.delta > tol
@@ -127,10 +140,9 @@ def fit_many(
             newton,
             fit_intercept,
         )
-        partials = blocks.df.select("y", "fold", "x").mapInArrow(kernel, kernels.PARTIAL_SCHEMA)
-        sums = {
-            r.fit: np.array(r.part) for r in sum_partials(partials, blocks.partitions).collect()
-        }
+        partials = read.mapInArrow(kernel, PARTIALS)
+        added = sum_partials(partials, blocks.partitions, total).collect()
+        sums = {r.fit: np.array(r.part) for r in added}
         for i, fit in active.items():
             _step(fit, sums[i], newton, fit_intercept)
 
@@ -196,8 +208,10 @@ def confusion_many(blocks: Blocks, fits: Sequence[Fit], threshold: float = 0.5)
     kernel = kernels.confusion_pass(
         blocks.width, product_plan(_longest(fits)), _groups(chosen), threshold
     )
-    partials = blocks.df.select("y", "fold", "x").mapInArrow(kernel, kernels.PARTIAL_SCHEMA)
-    counts = {r.fit: r.part for r in sum_partials(partials, blocks.partitions).collect()}
+    with blocks.reading() as read:
+        partials = read.mapInArrow(kernel, PARTIALS)
+        added = sum_partials(partials, blocks.partitions).collect()
+    counts = {r.fit: r.part for r in added}
     return np.rint([counts[i] for i in chosen]).astype(np.int64)
 
 

@@ -13,6 +13,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linfit.functions.features import column
 from linfit.functions.vectors import doubles
@@ -24,21 +25,31 @@ MAX_GENERATED_SUMS = 66
 TREE_PARTITIONS = 1024
 
 
-def sum_partials(partials: DataFrame, partitions: int = 0) -> DataFrame:
-    """Element-wise sum of ``part`` per ``fit``.
+# What a kernel emits; as an object, since a string would be parsed again for every pass.
+PARTIALS = T.StructType(
+    [
+        T.StructField("fit", T.IntegerType()),
+        T.StructField("part", T.ArrayType(T.DoubleType())),
+    ]
+)
+
+
+def part_sum() -> Column:
+    """Element-wise sum of ``part``; an iterative caller makes it once for all its passes.
 
     The summarizer keeps running means, so a sum of whole numbers may be off in the last bit.
     """
+    return vector_to_array(Summarizer.sum(array_to_vector("part"))).alias("part")
 
-    def add_up(df: DataFrame, *keys: str) -> DataFrame:
-        return df.groupBy(*keys).agg(
-            vector_to_array(Summarizer.sum(array_to_vector("part"))).alias("part")
-        )
 
+def sum_partials(partials: DataFrame, partitions: int = 0, total: Column | None = None) -> DataFrame:
+    """Element-wise sum of ``part`` per ``fit``, in two steps for very many partitions."""
+    total = part_sum() if total is None else total
     if partitions > TREE_PARTITIONS:
         salt = F.spark_partition_id() % int(partitions**0.5)
-        partials = add_up(partials.withColumn("salt", salt), "fit", "salt").drop("salt")
-    return add_up(partials, "fit")
+        salted = partials.withColumn("salt", salt)
+        partials = salted.groupBy("fit", "salt").agg(total)
+    return partials.groupBy("fit").agg(total)
 
 
 def vector_sum(df: DataFrame, features: str = "features") -> DataFrame:
@@ -78,7 +89,7 @@ def gram(
     if method == "generated" or (method == "auto" and narrow):
         return _gram_generated(df, x, width, weight)
     inputs = [x.alias("x")] + ([weight.cast("double").alias("w")] if weight is not None else [])
-    partials = df.select(*inputs).mapInArrow(kernels.gram_pass, kernels.PARTIAL_SCHEMA)
+    partials = df.select(*inputs).mapInArrow(kernels.gram_pass, PARTIALS)
     return _entries(sum_partials(partials))
 
 
@@ -129,7 +140,7 @@ def xty(df: DataFrame, features: str = "features", label: str = "label") -> Data
 def cross_moment(df: DataFrame, a: str, b: str) -> DataFrame:
     """Sum of a bT over two array columns as ``(i, j, v)``, i over ``a``, j over ``b``."""
     pair = df.select(doubles(column(a)).alias("a"), doubles(column(b)).alias("b"))
-    partials = pair.mapInArrow(kernels.cross_pass, kernels.PARTIAL_SCHEMA)
+    partials = pair.mapInArrow(kernels.cross_pass, PARTIALS)
     return _entries(sum_partials(partials))
 
 

@@ -14,7 +14,7 @@ from linfit.sources.schemas import SONG_FIELDS
 def test_collision_job(spark, small):
     data = collisions(spark, small)
     out = J.collision_job(
-        data, degrees=(1, 2), lambdas=(0.01, 0.5), max_iter=3, learning_rate=1e-3
+        data, degrees=(1, 2), lambdas=(0.01, 0.5), max_iter=2, learning_rate=1e-3
     )
     assert out.search.width == 7 and len(out.search.fold_scores) == 12
     row = out.holdout_score.first()
@@ -46,7 +46,7 @@ def test_song_year_job(spark):
 def test_click_job(spark, small, tmp_path):
     table = clicks(spark, small)
     out = J.click_job(
-        table, table.drop("clicked"), str(tmp_path / "clicked"), max_iter=5,
+        table, table.drop("clicked"), str(tmp_path / "clicked"), max_iter=2,
     )
     assert 0.3 < out.accuracy.first().accuracy <= 1.0
     written = spark.read.csv(str(tmp_path / "clicked"), header=True)
@@ -58,7 +58,7 @@ def test_leaf_job(spark, small, tmp_path):
     names = sorted({r.species for r in table.select("species").distinct().collect()})[::-1]
     out = J.leaf_job(
         spark, table, table.drop("species"), names, str(tmp_path / "out"),
-        columns=[f"margin{i}" for i in range(1, 65)], k=2, reg_params=(0.3, 0.03), max_iter=5,
+        columns=[f"margin{i}" for i in range(1, 17)], k=2, reg_params=(0.3,), max_iter=2,
     )
     assert out.label_difference.count() == 0
     assert [r.value for r in out.fitted_labels.orderBy("idx").collect()] == names

@@ -62,10 +62,17 @@ def test_preview_is_a_top_n(spark):
     assert "TakeOrderedAndProject" in shown._jdf.queryExecution().executedPlan().toString()
 
 
-def test_scratch_follows_the_session(spark, tmp_path):
+class Session:
+    """Just the two settings that decide where intermediate tables go."""
+
+    def __init__(self, master, folder=None):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+def test_scratch_follows_the_session(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert scratch_path(spark, "x").startswith(f"{tmp_path}/linfit-x-")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+    shared = scratch_path(Session("yarn", "hdfs://shared/dir/"), "x")
+    assert shared.startswith("hdfs://shared/dir/linfit-x-")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(Session("yarn"), "x")

@@ -10,7 +10,7 @@ from linfit.operators.metrics import binary_scores, confusion_matrix
 from linfit.operators.resample import fold_pairs, with_fold
 from linfit.plans import tuning as T
 
-GRID = [(1, 0.0), (1, 5.0), (2, 0.0), (2, 5.0)]
+GRID = [(1, 5.0), (2, 0.0)]
 
 
 @pytest.fixture(scope="module")
@@ -21,10 +21,10 @@ def folded(binary):
 @pytest.mark.parametrize("method, rate", [("gradient", 4e-4), ("newton", 1.0)])
 def test_shared_passes_equal_separate_fits(folded, method, rate):
     """Every fold and grid point fitted alone, on expanded columns, scored with plain operators."""
-    options = dict(method=method, max_iter=4, learning_rate=rate)
+    options = dict(method=method, max_iter=3, learning_rate=rate)
     result = T.cross_validate_logistic(folded, k=3, grid=GRID, **options)
     got = {(r["degree"], r["lambda"], r["fold"]): r["score"] for r in result.folds().collect()}
-    assert len(got) == 12
+    assert len(got) == 6
     for degree, l2 in GRID:
         expanded = folded.withColumn("features", polynomial("features", 3, degree))
         for fold, (train, test) in enumerate(fold_pairs(expanded, 3)):
