@@ -7,13 +7,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linfit.functions.features import column, monomials
 from linfit.functions.scalar import binary_log_loss, sigmoid
-from linfit.functions.vectors import dot_constant, doubles
+from linfit.functions.vectors import MAX_GENERATED_TERMS, dot_constant, doubles
 from linfit.operators import kernels
 from linfit.operators.errors import DivergedError
 from linfit.operators.instances import Blocks, pack_blocks
@@ -248,15 +249,27 @@ def _margins(
     rows = df.select(
         column(label).cast("double").alias("label"),
         (dot_constant(x, theta) + F.lit(float(intercept))).alias("z"),
-        *[F.get(x, F.lit(i)).alias(f"x{i}") for i in range(len(theta))],
+        x.alias("x"),
     )
     return rows.withColumn("r", sigmoid(F.col("z")) - F.col("label"))
 
 
-def _slopes(d: int) -> list[Column]:
-    return [F.sum(F.col("r") * F.col(f"x{i}")).alias(f"g{i}") for i in range(d)] + [
-        F.sum("r").alias("g_intercept")
-    ]
+def _gradient(rows: DataFrame, d: int, *others: tuple[str, Column]) -> DataFrame:
+    """``g0.., g_intercept`` and other aggregates, in one pass.
+
+    A narrow gradient is one compiled sum per feature, a wide one a single vector sum.
+    """
+    rest = [F.sum("r").alias("g_intercept"), *[value.alias(name) for name, value in others]]
+    if d <= MAX_GENERATED_TERMS:
+        slopes = [F.sum(F.col("r") * F.get("x", F.lit(i))).alias(f"g{i}") for i in range(d)]
+        return rows.agg(*slopes, *rest)
+    products = array_to_vector(F.transform("x", lambda v: v * F.col("r")))
+    whole = rows.agg(vector_to_array(Summarizer.sum(products)).alias("g"), *rest)
+    return whole.select(
+        *[F.get("g", F.lit(i)).alias(f"g{i}") for i in range(d)],
+        "g_intercept",
+        *[name for name, _ in others],
+    )
 
 
 def logloss_gradient(
@@ -267,7 +280,7 @@ def logloss_gradient(
     label: str = "label",
 ) -> DataFrame:
     """One row ``g0.., g_intercept``: the gradient of the total cross-entropy."""
-    return _margins(df, theta, intercept, features, label).agg(*_slopes(len(theta)))
+    return _gradient(_margins(df, theta, intercept, features, label), len(theta))
 
 
 def binary_cross_entropy(
@@ -289,11 +302,10 @@ def fused_gradient_loss(
     features: str = "features",
     label: str = "label",
 ) -> DataFrame:
-    """Gradient, total cross-entropy ``loss`` and row count ``n`` in one compiled aggregate."""
+    """Gradient, total cross-entropy ``loss`` and row count ``n`` in one aggregate."""
     loss = binary_log_loss(F.col("z"), F.col("label"))
-    return _margins(df, theta, intercept, features, label).agg(
-        *_slopes(len(theta)), F.sum(loss).alias("loss"), F.count(F.lit(1)).alias("n")
-    )
+    rows = _margins(df, theta, intercept, features, label)
+    return _gradient(rows, len(theta), ("loss", F.sum(loss)), ("n", F.count(F.lit(1))))
 
 
 def logistic_hessian(

@@ -56,17 +56,21 @@ def check_folds(k: int) -> None:
 
 def with_fold(
     df: DataFrame,
-    keys: Sequence[str],
+    keys: Sequence[str] = (),
     k: int = 3,
     name: str = "fold",
     hash_fn: str = "xxhash64",
+    seed: int = 42,
 ) -> DataFrame:
     """One more column: the row's fold, 0 to k-1.
 
-    Fold i's training rows are those with another number, so no table is ever unioned.
+    Fold i's training rows are those with another number, so no table is ever unioned. All rows
+    of one key share a fold; where a key may hold a large part of the table, pass none, and
+    every row gets a random fold of its own.
     """
     check_folds(k)
-    return df.withColumn(name, (key_bucket(keys, hash_fn) % k).cast("int"))
+    fold = key_bucket(keys, hash_fn) % k if keys else F.floor(F.rand(seed) * k)
+    return df.withColumn(name, fold.cast("int"))
 
 
 def fold_pairs(df: DataFrame, k: int = 3, name: str = "fold") -> list[tuple[DataFrame, DataFrame]]:

@@ -77,10 +77,10 @@ def collision_job(
 ) -> CollisionResult:
     """Search (degree, lambda) on the training rows, then score the winner on the others.
 
-    Rows without a key of their own are split by their whole content. The rate applies to a
-    gradient summed over rows, so it has to shrink as the table grows.
+    Rows without a key of their own are split by the columns that are read anyway. The rate
+    applies to a gradient summed over rows, so it has to shrink as the table grows.
     """
-    keys = list(keys) or data.columns
+    keys = list(keys) or ["label", *feature_group(group)]
     slim = data.select("*", assemble(feature_group(group)).alias("features"))
     train, test = holdout(slim, keys, test_fraction, hash_fn)
     train = with_fold(train, keys, k, hash_fn=hash_fn).select("label", "features", "fold")

@@ -186,3 +186,15 @@ def test_spread_only_when_too_few_partitions(spark):
     assert spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == cores
     wide = spark.range(100, numPartitions=cores + 3)
     assert spread(wide) is wide
+
+
+def test_wide_gradient_equals_narrow(binary):
+    """Padding with zeros beyond the generated-sum limit switches the plan, not the numbers."""
+    pad = L.MAX_GENERATED_TERMS
+    theta = [0.5, -0.25, 0.1]
+    wide = binary.withColumn("features", F.concat("features", F.array_repeat(F.lit(0.0), pad)))
+    a = L.fused_gradient_loss(binary, theta, 0.2).first()
+    b = L.fused_gradient_loss(wide, theta + [0.0] * pad, 0.2).first()
+    assert len(b) == 3 + pad + 3 and b[f"g{pad}"] == 0.0
+    for name in ("g0", "g1", "g2", "g_intercept", "loss", "n"):
+        assert a[name] == pytest.approx(b[name], rel=1e-12)

@@ -51,3 +51,14 @@ def test_random_split_and_sample(keyed):
     parts = R.random_split(keyed)
     assert sum(p.count() for p in parts) == 20000
     assert abs(R.bernoulli_sample(keyed, 0.1).count() - 2000) < 300
+
+
+def test_a_hot_key_can_be_spread_over_random_folds(spark):
+    """A third of all rows share a key: by key they share a fold, without a key they do not."""
+    df = spark.range(9000).withColumn("k", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")))
+    hot = F.col("k") == -1
+    assert R.with_fold(df, ["k"], 3).filter(hot).select("fold").distinct().count() == 1
+    spread = R.with_fold(df, k=3).filter(hot).groupBy("fold").count().collect()
+    assert len(spread) == 3 and all(abs(r["count"] - 1000) < 150 for r in spread)
+    sizes = R.with_fold(df, k=3).groupBy("fold").count().collect()
+    assert sum(r["count"] for r in sizes) == 9000
