@@ -10,6 +10,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from linfit.catalog.aggregates import COUNTS_SQL, SCORES_SQL
 from linfit.catalog.base import (
     KEY_LIST,
     KEYS,
@@ -146,10 +147,16 @@ def param_grid_query(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("degree", "lambda", rounded("loss", 9).alias("loss"))
 
 
+SEEN_SQL = f"seen AS (SELECT * FROM lines WHERE bucket >= {TEST_BUCKETS})"
+
+
 def _search_sql(source: str = "lines") -> str:
-    """Fold scores of every grid point as ``fold_scores``, and their means as ``means``."""
+    """Fold scores of every grid point as ``fold_scores``, and their means as ``means``.
+
+    ``source`` is ``lines``, or ``seen`` for the training split alone.
+    """
     z = " + ".join(f"f{i} * t{i}" for i in range(5)) + " + b"
-    return f"""{LINE_SQL}, {_points_sql(list(range(FOLDS)))},
+    return f"""{LINE_SQL}, {SEEN_SQL}, {_points_sql(list(range(FOLDS)))},
 numbered AS (SELECT *, bucket % {FOLDS} AS fold FROM {source}),
 {gradient_steps('numbered', 'points', _terms_sql(), ITERATIONS, RATE_SQL)},
 fold_scores AS MATERIALIZED (
@@ -242,28 +249,18 @@ _HOLDOUT_Z = " + ".join(f"{e} * t{i}" for i, (e, _) in enumerate(_terms_sql()))
 
 @query(
     "cv_best_holdout_score",
-    f"""WITH {_refit_sql('seen')}, unseen AS (
+    f"""WITH {_refit_sql('seen')}, said AS (
           SELECT label, CASE WHEN 1 / (1 + exp(-({_HOLDOUT_Z}))) >= {THRESHOLD} THEN 1 ELSE 0 END
                  AS prediction FROM lines, rs{ITERATIONS} WHERE bucket < {TEST_BUCKETS}),
-        counts AS (
-          SELECT count(*) FILTER (WHERE prediction = 1 AND label = 1) AS true_positive,
-                 count(*) FILTER (WHERE prediction = 0 AND label = 0) AS true_negative,
-                 count(*) FILTER (WHERE prediction = 1 AND label = 0) AS false_positive,
-                 count(*) FILTER (WHERE prediction = 0 AND label = 1) AS false_negative
-          FROM unseen)
-        SELECT *, {sql_rounded('(true_positive + true_negative) / (true_positive + true_negative + false_positive + false_negative)', 9)} AS accuracy,
-               {sql_rounded('true_positive / nullif(true_positive + false_positive, 0)', 9)} AS "precision",
-               {sql_rounded('true_positive / nullif(true_positive + false_negative, 0)', 9)} AS recall
-        FROM counts""".replace(
-        "numbered AS (", f"seen AS (SELECT * FROM lines WHERE bucket >= {TEST_BUCKETS}), numbered AS (", 1
-    ),
+        counts AS ({COUNTS_SQL})
+        SELECT *, {SCORES_SQL} FROM counts""",
 )
 def cv_best_holdout_score(spark: SparkSession, folder: str) -> DataFrame:
     table = lines(spark, folder)
     train, test = holdout(table, KEYS, 0.3, "md5")
     result = search_on(with_fold(train, KEYS, FOLDS, hash_fn="md5"), table.count())
     found = score_best(test, result, threshold=THRESHOLD)
-    return found.withColumns({c: rounded(c, 9) for c in ("accuracy", "precision", "recall")})
+    return found.withColumns({c: rounded(c, 10) for c in ("accuracy", "precision", "recall")})
 
 
 @query("cv_native_auc")

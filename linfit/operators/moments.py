@@ -100,21 +100,24 @@ def _entries(rows: DataFrame) -> DataFrame:
 def _gram_generated(
     df: DataFrame, features: Column, width: int, weight: Column | None
 ) -> DataFrame:
-    size_ok = F.when(F.size("x") == width, F.lit(0.0)).otherwise(
+    # The length check has to reach the result, or column pruning would drop it.
+    checked = F.when(F.size("x") == width, F.lit(0.0)).otherwise(
         F.raise_error(F.lit(f"expected feature vectors of {width}"))
     )
     w = weight.cast("double") if weight is not None else F.lit(1.0)
-    rows = df.select(features.alias("x"), w.alias("w"))
     elements = [F.get("x", F.lit(i)).alias(f"x{i}") for i in range(width)]
-    rows = rows.select("w", size_ok.alias("ok"), *elements)
+    rows = df.select(features.alias("x"), w.alias("w"))
+    rows = rows.select("w", checked.alias("checked"), *elements)
     pairs = [(i, j) for i in range(width) for j in range(i + 1)]
     sums = rows.agg(
-        F.max("ok").alias("ok"),
+        F.max("checked").alias("checked"),
         *[F.sum(F.col(f"x{i}") * F.col(f"x{j}") * F.col("w")).alias(f"m{i}_{j}") for i, j in pairs],
     )
     entries = [
         F.struct(
-            F.lit(i).alias("i"), F.lit(j).alias("j"), (F.col(f"m{i}_{j}") + F.col("ok")).alias("v")
+            F.lit(i).alias("i"),
+            F.lit(j).alias("j"),
+            (F.col(f"m{i}_{j}") + F.col("checked")).alias("v"),
         )
         for i, j in pairs
     ]

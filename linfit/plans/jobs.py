@@ -138,7 +138,7 @@ def song_year_job(
     training rows are kept, since scaling and both fits read them.
     """
     train_lines, test_lines = holdout(lines, ["value"], test_fraction, hash_fn)
-    train = song_instances(train_lines, fields).persist(StorageLevel.MEMORY_AND_DISK)
+    train = song_instances(spread(train_lines), fields).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         scaling = fit_scaling(train, "values")
 

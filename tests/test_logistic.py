@@ -198,3 +198,23 @@ def test_wide_gradient_equals_narrow(binary):
     assert len(b) == 3 + pad + 3 and b[f"g{pad}"] == 0.0
     for name in ("g0", "g1", "g2", "g_intercept", "loss", "n"):
         assert a[name] == pytest.approx(b[name], rel=1e-12)
+
+
+def test_lost_blocks_are_rebuilt(binary):
+    """Without its cached blocks a fit recomputes them from the input and ends the same."""
+    fits = [L.Fit(L.graded_terms(3, 2), 0.1), L.Fit(L.graded_terms(3, 2), 0.1)]
+    with pack_blocks(binary) as blocks:
+        L.fit_many(blocks, fits[:1], max_iter=3, learning_rate=4e-4)
+        blocks.df.unpersist(blocking=True)
+        L.fit_many(blocks, fits[1:], max_iter=3, learning_rate=4e-4)
+    assert fits[0].losses == pytest.approx(fits[1].losses, rel=1e-14)
+    assert np.allclose(fits[0].theta, fits[1].theta, rtol=1e-12)
+
+
+def test_session_setting_is_restored(spark, binary):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    with pytest.raises(ValueError):
+        L.logistic_fit(binary, learning_rate=1e-3, l2=-1.0)
+    L.logistic_fit(binary, max_iter=1, learning_rate=1e-3)
+    assert spark.conf.get(name) == before
