@@ -24,7 +24,7 @@ def gradient_steps(
     d = range(len(terms))
     zero = "CAST(0 AS DOUBLE)"
     ctes = [
-        f"basis AS MATERIALIZED (SELECT label, fold, "
+        "basis AS MATERIALIZED (SELECT label, fold, "
         + ", ".join(f"{e} AS f{i}" for i, (e, _) in enumerate(terms))
         + f" FROM {source})",
         "s0 AS MATERIALIZED (SELECT fit, held, l2, degree, "
@@ -93,7 +93,11 @@ def newton_steps(source: str, iterations: int, weight: str = "1") -> str:
     moved = solve3("h", "g")
     for step in range(iterations):
         sums = ", ".join(
-            [f"sum(w * s * (1 - s) * {x[i]} * {x[j]}) AS h{i}{j}" for i in range(3) for j in range(i + 1)]
+            [
+                f"sum(w * s * (1 - s) * {x[i]} * {x[j]}) AS h{i}{j}"
+                for i in range(3)
+                for j in range(i + 1)
+            ]
             + [f"sum(w * (s - label) * {x[i]}) AS g{i}" for i in range(3)]
             + ["avg(CASE WHEN label = 1 THEN ln(1 + exp(-z)) ELSE ln(1 + exp(z)) END) AS loss"]
         )

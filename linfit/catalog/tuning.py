@@ -25,6 +25,7 @@ from linfit.catalog.base import (
 from linfit.catalog.sql_fits import gradient_steps
 from linfit.operators.instances import pack_blocks, spread
 from linfit.operators.logistic import Fit, fit_many, graded_terms
+from linfit.operators.metrics import AreaUnderRoc
 from linfit.operators.resample import (
     bernoulli_sample,
     holdout,
@@ -34,7 +35,6 @@ from linfit.operators.resample import (
 )
 from linfit.plans.tuning import (
     CVResult,
-    auc_evaluator,
     best_score,
     cross_entropy_evaluator,
     cross_validate_logistic,
@@ -275,7 +275,7 @@ def cv_native_auc(spark: SparkSession, folder: str) -> DataFrame:
         spread(table),
         [expand, fit],
         [(expand.degree, [1, 2]), (fit.regParam, [0.1, 0.01])],
-        auc_evaluator(),
+        AreaUnderRoc(),
         FOLDS,
         fold="fold",
     )

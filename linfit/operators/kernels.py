@@ -218,3 +218,22 @@ def cross_pass(batches: Batches) -> Batches:
             acc = found if acc is None else acc + found
     if acc is not None:
         yield partial_batch(dict(enumerate(acc)))
+
+
+def roc_pass(batches: Batches) -> Batches:
+    """One row per partition of (score, pos, neg), sorted by score, one row per score.
+
+    ``area`` counts the pairs of this partition in which the positive scores higher, ties half.
+    """
+    lowest, pos, neg, area = None, 0.0, 0.0, 0.0
+    for batch in batches:
+        if batch.num_rows:
+            score, p, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            lowest = float(score[0]) if lowest is None else lowest
+            below = neg + np.cumsum(n) - n
+            area += float(np.sum(p * (below + n / 2.0)))
+            pos, neg = pos + float(p.sum()), neg + float(n.sum())
+    if lowest is not None:
+        yield pa.RecordBatch.from_pydict(
+            {"lowest": [lowest], "pos": [pos], "neg": [neg], "area": [area]}
+        )

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linfit.functions.features import cast_label, column
 from linfit.functions.scalar import clip_probability
+from linfit.operators import kernels
 
 SCORE_TYPES = ("accuracy", "precision", "recall")
 
@@ -100,13 +102,45 @@ def multiclass_cross_entropy(
 
 
 def area_under_roc(predictions: DataFrame, label: str = "label", score: str = "score") -> float:
-    """Exact area under the ROC curve; the library's default would bin large inputs.
+    """Exact area under the ROC curve: the share of (positive, negative) pairs ranked right.
 
-    It sorts distinct scores by range partitioning, so no task sees the whole table.
+    Rows are first counted per score, so a score that many rows share is one row from there on.
+    Distinct scores are dealt out by range; every partition counts its own pairs and reports one
+    row, and a partition's positives also beat all negatives of the partitions below.
     """
-    rows = predictions.select(
-        column(label).cast("double").alias("label"), column(score).cast("double").alias("score")
+    positive = (column(label) == 1.0).cast("double")
+    value = F.when(column(score).isNotNull(), column(score).cast("double")).otherwise(
+        F.raise_error(F.lit("null score"))
     )
-    return BinaryClassificationEvaluator(
-        rawPredictionCol="score", labelCol="label", numBins=0
-    ).evaluate(rows)
+    rows = predictions.select(value.alias("score"), positive.alias("pos"))
+    counts = rows.groupBy("score").agg(
+        F.sum("pos").alias("pos"), F.sum(1.0 - F.col("pos")).alias("neg")
+    )
+    ranged = counts.repartitionByRange("score").sortWithinPartitions("score")
+    parts = ranged.mapInArrow(
+        kernels.roc_pass, "lowest double, pos double, neg double, area double"
+    ).collect()
+    pairs = negatives = 0.0
+    for part in sorted(parts, key=lambda r: r.lowest):
+        pairs += part.area + part.pos * negatives
+        negatives += part.neg
+    whole = sum(r.pos for r in parts) * negatives
+    if not whole:
+        raise ValueError("the area needs rows of both classes")
+    return pairs / whole
+
+
+class AreaUnderRoc(Evaluator):
+    """``area_under_roc`` of the raw prediction, for the library's search."""
+
+    def __init__(self, label: str = "label", raw_prediction: str = "rawPrediction") -> None:
+        super().__init__()
+        self.label, self.raw_prediction = label, raw_prediction
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        margin = vector_to_array(column(self.raw_prediction))[1]
+        rows = dataset.select(column(self.label).alias("label"), margin.alias("score"))
+        return area_under_roc(rows)
+
+    def isLargerBetter(self) -> bool:
+        return True

@@ -6,11 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
-from pyspark.ml.evaluation import (
-    BinaryClassificationEvaluator,
-    Evaluator,
-    MulticlassClassificationEvaluator,
-)
+from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
 from pyspark.ml.param import Param
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -180,11 +176,6 @@ def native_scores(spark: SparkSession, model: CrossValidatorModel) -> DataFrame:
     return spark.createDataFrame(rows, schema="point int, params string, score double")
 
 
-def auc_evaluator(label: str = "label") -> BinaryClassificationEvaluator:
-    """Area under the ROC curve of the raw prediction, without binning."""
-    return BinaryClassificationEvaluator(labelCol=label, numBins=0)
-
-
 def cross_entropy_evaluator(label: str = "label") -> MulticlassClassificationEvaluator:
     """Mean multiclass cross-entropy, clipped at 1e-15; smaller is better."""
     return MulticlassClassificationEvaluator(

@@ -2,7 +2,10 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import (
+    BinaryClassificationEvaluator,
+    MulticlassClassificationEvaluator,
+)
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -71,3 +74,25 @@ def test_accuracy_and_auc(spark):
     )
     assert S.multiclass_accuracy(df).first().accuracy == 0.5
     assert S.area_under_roc(df) == pytest.approx(3.5 / 4)
+
+
+@pytest.mark.parametrize("digits", [1, 6])
+def test_auc_equals_library(spark, digits):
+    """Coarse scores make many ties; a third of all rows share one score."""
+    rng = np.random.default_rng(9)
+    y = (rng.random(3000) < 0.4).astype(float)
+    s = np.round(y * 0.3 + rng.random(3000), digits)
+    s[::3] = 0.5
+    df = spark.createDataFrame(
+        [(float(a), float(b)) for a, b in zip(y, s)], "label double, score double"
+    ).repartition(6)
+    native = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0).evaluate(df)
+    assert S.area_under_roc(df) == pytest.approx(native, rel=1e-12)
+
+
+def test_auc_rejects_one_class_and_nulls(spark):
+    df = spark.createDataFrame([(1.0, 0.2), (1.0, 0.3)], "label double, score double")
+    with pytest.raises(ValueError, match="both classes"):
+        S.area_under_roc(df)
+    with pytest.raises(Exception, match="null score"):
+        S.area_under_roc(df.withColumn("score", F.lit(None).cast("double")))

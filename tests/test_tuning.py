@@ -6,7 +6,7 @@ from pyspark.ml.functions import array_to_vector
 
 from linfit.functions.features import polynomial
 from linfit.operators.logistic import logistic_fit, logistic_predict
-from linfit.operators.metrics import binary_scores, confusion_matrix
+from linfit.operators.metrics import AreaUnderRoc, binary_scores, confusion_matrix
 from linfit.operators.resample import fold_pairs, with_fold
 from linfit.plans import tuning as T
 
@@ -92,7 +92,7 @@ def test_library_search(spark, folded):
     expand = PolynomialExpansion(inputCol="features", outputCol="terms")
     fit = LogisticRegression(featuresCol="terms", maxIter=20)
     model = T.cross_validate_native(
-        df, [expand, fit], [(expand.degree, [1, 2])], T.auc_evaluator(), 3, fold="fold"
+        df, [expand, fit], [(expand.degree, [1, 2])], AreaUnderRoc(), 3, fold="fold"
     )
     scores = T.native_scores(spark, model).orderBy("point").collect()
     assert [s.params for s in scores] == ["degree=1", "degree=2"]
