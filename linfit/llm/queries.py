@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from linfit.llm import bpe, exact, langid, mixing, near
+from linfit.llm import ann, bpe, exact, kneser, langid, mixing, near, pii, toxicity
 from linfit.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +66,30 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of each document's tokens and of their bytes."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return bpe.token_digests(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+
+
+@query
+def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    vectors = read(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return ann.nearest(vectors, F.col("vec_id") % 100 == 0)
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of each document."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.score(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in each document."""
+    return pii.find(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of each document, and whether it is kept."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return kneser.classify(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
