@@ -267,6 +267,61 @@ def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
     return map_rows(joined, start, "ok boolean", ("a", "b")).where("ok").select("a", "b")
 
 
+def _shared(codes: list[np.ndarray]) -> np.ndarray:
+    """How many labelled k-mers each two texts have in common."""
+    where = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
+    _, number, times = np.unique(np.concatenate(codes), return_inverse=True, return_counts=True)
+    often = times[number] > 1
+    where, number = where[often], np.unique(number[often], return_inverse=True)[1]
+    out = np.zeros((len(codes), len(codes)), np.float32)
+    order = np.argsort(number, kind="stable")
+    where, number = where[order], number[order]
+    step = 4096
+    for low in range(0, int(number[-1]) + 1 if len(number) else 0, step):
+        a, b = np.searchsorted(number, [low, low + step])
+        holds = np.zeros((len(codes), step), np.float32)
+        holds[where[a:b], number[a:b] - low] = 1
+        out += holds @ holds.T
+    return out
+
+
+def _links_within(least: float):
+    """Links between different components among the texts of two blocks, enough to join them.
+
+    Labelled k-mers in common bound the matched ones, so pairs that share too few are done with;
+    the others are aligned, unless links found before join them already.
+    """
+
+    def run(key, rows):
+        import pandas as pd
+
+        rows = rows.drop_duplicates(["id", "own"]).sort_values("id")
+        ids, own = rows["id"].tolist(), rows["own"].to_numpy()
+        texts = [kmers(np.frombuffer(w, np.uint64)) for w in rows["words"]]
+        n = np.array([len(t) for t in texts], np.float32)
+        common = _shared([labelled(t) for t in texts])
+        enough = common >= least * (n[:, None] + n[None, :] - common) - 1e-3
+        enough &= (own == key[2])[:, None] & (own == key[3])[None, :]
+        if key[2] == key[3]:
+            enough = np.triu(enough, 1)
+        parent = {r: r for r in rows["root"]}
+
+        def top(r):
+            while parent[r] != r:
+                parent[r] = r = parent[parent[r]]
+            return r
+
+        roots, out = rows["root"].tolist(), []
+        for x, y in zip(*np.nonzero(enough), strict=True):
+            a, b = top(roots[x]), top(roots[y])
+            if a != b and similarity(texts[x], texts[y], least) >= least - 1e-12:
+                parent[a] = b
+                out.append((ids[x], ids[y]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
 def near_links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, id) of all documents, and components (id, root) of the texts with links.
 
@@ -299,14 +354,17 @@ def near_links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, D
     first = stored(_verified(pairs, words, least), "first-links")
     roots = components(first, "first")
 
-    # Buckets that still hold several components.
+    # Buckets that still hold several components; of those with the same members, one.
     placed = members.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     split = placed.groupBy("r", "key").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size")
+        F.min("root").alias("low"),
+        F.max("root").alias("high"),
+        F.count("*").alias("size"),
+        F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("members"),
     )
-    split = split.where("low < high and size > 2").select("r", "key", "size")
-    open_ = placed.drop("size", "head").join(split, ["r", "key"])
-    open_ = open_.join(texts.select("id", "sketch"), "id")
+    split = split.where("low < high and size > 2").groupBy("size", "members")
+    split = split.agg(F.min(F.struct("r", "key")).alias("one")).select("one.r", "one.key", "size")
+    open_ = placed.select("r", "key", "id", "root").join(split, ["r", "key"]).join(words, "id")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     open_ = open_.withColumn("blocks", blocks).withColumn("own", own)
@@ -315,31 +373,10 @@ def near_links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, D
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda j: F.struct(F.least("own", j).alias("i"), F.greatest("own", j).alias("j")),
     )
-    met = open_.select("r", "key", "id", "n", "root", "sketch", "own", F.explode(meets).alias("m"))
-    met = met.select("r", "key", "m.i", "m.j", "id", "n", "root", "sketch", "own")
-
-    def candidates(key, rows):
-        import pandas as pd
-
-        i, j = key[2], key[3]
-        rows = rows.drop_duplicates(["id", "own"]).sort_values("id")
-        sk = np.stack(rows["sketch"].to_numpy())
-        ids_, roots_, n_, own_ = (rows[c].to_numpy() for c in ("id", "root", "n", "own"))
-        a, b = [], []
-        for x in range(len(rows)):
-            if own_[x] != i:
-                continue
-            ok = (own_ == j) & (roots_ != roots_[x])
-            ok &= np.minimum(n_, n_[x]) >= (least - 0.2) * np.maximum(n_, n_[x])
-            at = np.flatnonzero(ok)
-            at = at[(sk[at] == sk[x]).sum(axis=1) >= AGREE]
-            a += np.minimum(ids_[at], ids_[x]).tolist()
-            b += np.maximum(ids_[at], ids_[x]).tolist()
-        return pd.DataFrame({"a": a, "b": b}, dtype="int64").drop_duplicates()
-
-    more = met.groupBy("r", "key", "i", "j").applyInPandas(candidates, "a long, b long").distinct()
-    more = more.join(pairs, ["a", "b"], "left_anti")
-    second = _verified(more, words, least)
+    met = open_.select("r", "key", "id", "root", "words", "own", F.explode(meets).alias("m"))
+    met = met.select("r", "key", "m.i", "m.j", "id", "root", "words", "own")
+    met = met.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "r", "key", "i", "j")
+    second = met.groupBy("r", "key", "i", "j").applyInPandas(_links_within(least), "a long, b long")
     roots = components(stored(first.union(second), "links"), "all")
     named = found.join(texts.select("hi", "lo", "id"), ["hi", "lo"], "left").select("doc_id", "id")
     return named, roots

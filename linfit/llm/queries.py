@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linfit.llm import ann, bpe, exact, kneser, langid, mixing, near, pii, toxicity
+from linfit.llm import ann, bpe, exact, kneser, langid, lines, mixing, near, pii, toxicity
 from linfit.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,9 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity of each document, and whether it is kept."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
     return kneser.classify(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of each document that are near copies of earlier lines."""
+    return lines.dedup_report(read(spark, sf_dir, "documents", "doc_id", "text"))
