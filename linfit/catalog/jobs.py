@@ -27,7 +27,7 @@ def job_logistic_cv(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "collisions")
     collisions(spark, folder).write.csv(path, header=False)
     data = read_csv(spark, path, collision_schema())
-    result = collision_job(data, max_iter=10, learning_rate=1.0 / data.count())
+    result = collision_job(data, max_iter=100, learning_rate=1.0 / data.count())
     degree, l2 = result.search.best
     return result.holdout_score.select(
         F.lit(degree).alias("degree"), F.lit(l2).alias("lambda"), "*"
@@ -93,7 +93,7 @@ def job_click_prediction(spark: SparkSession, folder: str) -> DataFrame:
         read_csv(spark, path, click_schema(), header=True),
         read_csv(spark, new, click_schema(labelled=False), header=True),
         out,
-        max_iter=20,
+        max_iter=100,
     )
     written = spark.read.schema("prediction double").csv(out, header=True)
     accuracy = result.accuracy.first()["accuracy"]

@@ -193,7 +193,7 @@ def logistic_weighted(spark: SparkSession, folder: str) -> DataFrame:
 def logistic_multinomial(spark: SparkSession, folder: str) -> DataFrame:
     """Class probabilities of every embedding under a ten-class fit."""
     table = embeddings(spark, folder)
-    fitted = logistic_native(table, regParam=0.003, maxIter=50)
+    fitted = logistic_native(table, regParam=0.003, maxIter=400)
     vectors = table.select("vec_id", "label", array_to_vector("features").alias("features"))
     return fitted.transform(vectors).select(
         "vec_id", "label", vector_to_array("probability").alias("probability"), "prediction"

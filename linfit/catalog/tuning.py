@@ -165,7 +165,8 @@ fold_scores AS MATERIALIZED (
              THEN 1.0 ELSE 0.0 END) AS score
   FROM basis JOIN s{ITERATIONS} ON held = fold GROUP BY degree, l2, held),
 means AS MATERIALIZED (
-  SELECT degree, l2, sum(score) / {FOLDS} AS score FROM fold_scores GROUP BY degree, l2)"""
+  SELECT degree, l2, round(sum(score) / {FOLDS}, 12) AS score FROM fold_scores
+  GROUP BY degree, l2)"""
 
 
 def search(spark: SparkSession, folder: str) -> CVResult:
@@ -270,11 +271,11 @@ def cv_native_auc(spark: SparkSession, folder: str) -> DataFrame:
         "label", "fold", array_to_vector("features").alias("features")
     )
     expand = PolynomialExpansion(inputCol="features", outputCol="terms")
-    fit = LogisticRegression(featuresCol="terms", maxIter=10)
+    fit = LogisticRegression(featuresCol="terms", maxIter=40)
     model = cross_validate_native(
         spread(table),
         [expand, fit],
-        [(expand.degree, [1, 2]), (fit.regParam, [0.1, 0.01])],
+        [(expand.degree, [1, 2, 3]), (fit.regParam, [0.1, 0.01])],
         AreaUnderRoc(),
         FOLDS,
         fold="fold",
@@ -291,7 +292,7 @@ def cv_native_logloss(spark: SparkSession, folder: str) -> DataFrame:
         array_to_vector("features").alias("raw"),
     )
     scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)
-    fit = LogisticRegression(maxIter=20)
+    fit = LogisticRegression(maxIter=400)
     model = cross_validate_native(
         spread(table),
         [scaler, fit],

@@ -25,4 +25,6 @@ def binary_log_loss(z: Column, label: Column) -> Column:
 
 
 def clip_probability(p: Column, floor: float = PROBABILITY_FLOOR) -> Column:
-    return F.greatest(F.least(p, F.lit(1.0 - floor)), F.lit(floor))
+    """``p`` within the floor of 0 and 1; null and NaN stay, which least and greatest would hide."""
+    clipped = F.greatest(F.least(p, F.lit(1.0 - floor)), F.lit(floor))
+    return F.when(p.isNull() | F.isnan(p), p).otherwise(clipped)

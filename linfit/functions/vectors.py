@@ -20,6 +20,24 @@ def doubles(a: Column) -> Column:
     return a.cast("array<double>")
 
 
+def known(x: Column, what: str) -> Column:
+    """``x``, or an error where it is null."""
+    return F.coalesce(x, F.raise_error(F.lit(f"null {what}")).cast("double"))
+
+
+def sized(a: Column, width: int, value: Column) -> Column:
+    """``value`` where the vector ``a`` has ``width`` elements, an error for any other or null."""
+    size = F.coalesce(F.size(a).cast("string"), F.lit("null"))
+    message = F.concat_ws(" ", F.lit(f"expected feature vectors of {width}, not"), size)
+    return F.when(F.size(a) == width, value).otherwise(F.raise_error(message))
+
+
+def whole(a: Column) -> Column:
+    """The vector ``a``, or an error where it is null or holds null."""
+    broken = a.isNull() | F.exists(a, lambda x: x.isNull())
+    return F.when(broken, F.raise_error(F.lit("null feature vector or element"))).otherwise(a)
+
+
 def total(a: Column) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x)
 

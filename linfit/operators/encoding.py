@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linfit.functions.features import column
-from linfit.functions.vectors import MAX_GENERATED_TERMS, doubles
+from linfit.functions.vectors import MAX_GENERATED_TERMS, doubles, known, sized, whole
 
 
 @dataclass
@@ -31,28 +31,35 @@ class Scaling:
     std: list[float]
 
     def apply(self, features: Column | str, with_mean: bool, with_std: bool) -> Column:
-        """Centre and/or divide; a feature without spread is scaled to 0.0."""
+        """Centre and/or divide; a feature without spread is scaled to 0.0.
+
+        A null vector or element and a vector of another length raise.
+        """
         x = doubles(column(features) if isinstance(features, str) else features)
         shift = self.mean if with_mean else [0.0] * len(self.mean)
         factor = [(1.0 / s if s else 0.0) if with_std else 1.0 for s in self.std]
         if len(shift) <= MAX_GENERATED_TERMS:
-            return F.array(
+            scaled = F.array(
                 *[
-                    (F.get(x, F.lit(i)) - F.lit(m)) * F.lit(f)
+                    (known(F.get(x, F.lit(i)), "feature") - F.lit(m)) * F.lit(f)
                     for i, (m, f) in enumerate(zip(shift, factor))
                 ]
             )
+            return sized(x, len(shift), scaled)
         pairs = F.arrays_zip(
             F.array(*[F.lit(m) for m in shift]).alias("m"),
             F.array(*[F.lit(f) for f in factor]).alias("f"),
         )
-        return F.zip_with(x, pairs, lambda v, p: (v - p["m"]) * p["f"])
+        scaled = F.zip_with(
+            x, pairs, lambda v, p: (known(v, "feature") - p["m"]) * p["f"]
+        )
+        return sized(x, len(shift), scaled)
 
 
 def fit_scaling(df: DataFrame, features: str = "features") -> Scaling:
     """One pass; one row of d-sized vectors comes back."""
     summary = Summarizer.metrics("mean", "std").summary(
-        array_to_vector(doubles(column(features)))
+        array_to_vector(whole(doubles(column(features))))
     )
     row = df.agg(summary.alias("s")).select("s.mean", "s.std").first()
     return Scaling([float(v) for v in row["mean"]], [float(v) for v in row["std"]])

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -49,10 +47,18 @@ def spread(df: DataFrame) -> DataFrame:
 
     A scan of few, large row groups has fewer partitions with rows than the cluster has cores.
     Such a table is dealt out once; one with enough splits, any large table, passes through
-    without a shuffle. Meant for scans and projections of scans.
+    without a shuffle. Judged by the planner's size of the table, so no job runs. Meant for scans
+    and projections of scans.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(cores) if size // split < cores else df
+
+
+#: The fold number of rows that have none.
+UNFOLDED = -1
 
 
 @dataclass
@@ -64,19 +70,9 @@ class Blocks:
     rows: int
     partitions: int
 
-    @contextmanager
-    def reading(self) -> Iterator[DataFrame]:
-        """The blocks for a pass; within this context Arrow batches hold about a megabyte.
-
-        The session's default of 10,000 records would put a whole partition into one batch.
-        """
-        conf, name = self.df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-        before = conf.get(name)
-        conf.set(name, str(kernels.BATCH_BYTES // kernels.BLOCK_BYTES))
-        try:
-            yield self.df.select("y", "fold", "x")
-        finally:
-            conf.set(name, before)
+    def read(self) -> DataFrame:
+        """The blocks for a pass. Arrow batches end by bytes, so no setting has to change."""
+        return self.df.select("y", "fold", "x")
 
     def __enter__(self) -> "Blocks":
         return self
@@ -97,7 +93,7 @@ def pack_blocks(
     """
     rows = df.select(
         column(label).cast("double").alias("label"),
-        (column(fold).cast("int") if fold else F.lit(-1)).alias("fold"),
+        (column(fold).cast("int") if fold else F.lit(UNFOLDED)).alias("fold"),
         doubles(column(features)).alias("features"),
     )
     packed = rows.mapInArrow(kernels.pack, kernels.BLOCK_SCHEMA)

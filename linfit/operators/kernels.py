@@ -194,7 +194,7 @@ def confusion_pass(
 
 
 def gram_pass(batches: Batches) -> Batches:
-    """Sum of w x xT over (x[, w]): row i of the lower triangle as partial i."""
+    """Sum of w x xT over (x[, w]): row i as partial i; whole rows, so that widths must agree."""
     acc = None
     for batch in batches:
         if batch.num_rows:
@@ -204,9 +204,11 @@ def gram_pass(batches: Batches) -> Batches:
                 weight = batch.column(1).to_numpy(zero_copy_only=False).astype(np.float64)
                 left = x * weight[:, None]
             found = left.T @ x
+            if acc is not None and acc.shape != found.shape:
+                raise ValueError(f"feature vectors differ in length: {len(acc)} and {len(found)}")
             acc = found if acc is None else acc + found
     if acc is not None:
-        yield partial_batch({i: acc[i, : i + 1] for i in range(len(acc))})
+        yield partial_batch(dict(enumerate(acc)))
 
 
 def cross_pass(batches: Batches) -> Batches:

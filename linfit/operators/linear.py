@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linfit.functions.features import column
-from linfit.functions.vectors import dot_constant, doubles
+from linfit.functions.vectors import dot_constant, doubles, known, sized
 from linfit.operators.errors import NotPositiveDefiniteError
 from linfit.operators.moments import collect_symmetric, normal_terms
 
@@ -59,11 +59,12 @@ def linear_predict(
     label: str = "label",
     keys: Sequence[str] = (),
 ) -> DataFrame:
-    """``(keys.., label, prediction)``."""
+    """``(keys.., label, prediction)``; null vectors or elements and other lengths raise."""
+    x = doubles(column(features))
     return df.select(
         *[column(k) for k in keys],
         column(label).cast("double").alias("label"),
-        dot_constant(doubles(column(features)), model.theta).alias("prediction"),
+        sized(x, len(model.theta), known(dot_constant(x, model.theta), "feature")).alias("prediction"),
     )
 
 

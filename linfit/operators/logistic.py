@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 
 from linfit.functions.features import column, monomials
 from linfit.functions.scalar import binary_log_loss, sigmoid
-from linfit.functions.vectors import MAX_GENERATED_TERMS, dot_constant, doubles
+from linfit.functions.vectors import (
+    MAX_GENERATED_TERMS,
+    dot_constant,
+    doubles,
+    known,
+    sized,
+)
 from linfit.operators import kernels
 from linfit.operators.errors import DivergedError
 from linfit.operators.instances import Blocks, pack_blocks
@@ -23,6 +29,7 @@ from linfit.operators.moments import PARTIALS, gram, part_sum, sum_partials
 
 NO_FOLD = -2  # a held-out fold no row belongs to
 FIRST_DELTA = 100.0  # loss change assumed before the second loss is known
+HESSIAN_BYTES = 1 << 28  # packed Hessians that one pass may gather
 
 
 @dataclass
@@ -114,8 +121,7 @@ def fit_many(
     for fit in fits:
         fit.theta, fit.intercept = np.zeros(len(fit.terms)), 0.0
         fit.losses, fit.rate, fit.delta = [], float(learning_rate), FIRST_DELTA
-    with blocks.reading() as read:
-        _run_passes(blocks, read, fits, method == "newton", max_iter, tol, fit_intercept)
+    _run_passes(blocks, blocks.read(), fits, method == "newton", max_iter, tol, fit_intercept)
 
 
 def _run_passes(
@@ -134,18 +140,43 @@ def _run_passes(
         }
         if not active:
             return
-        kernel = kernels.logistic_pass(
-            blocks.width,
-            product_plan(_longest(list(active.values()))),
-            _groups(active),
-            newton,
-            fit_intercept,
-        )
-        partials = read.mapInArrow(kernel, PARTIALS)
-        added = sum_partials(partials, blocks.partitions, total).collect()
-        sums = {r.fit: np.array(r.part) for r in added}
-        for i, fit in active.items():
-            _step(fit, sums[i], newton, fit_intercept)
+        for batch in _batches(active, newton):
+            kernel = kernels.logistic_pass(
+                blocks.width,
+                product_plan(_longest(list(batch.values()))),
+                _groups(batch),
+                newton,
+                fit_intercept,
+            )
+            partials = read.mapInArrow(kernel, PARTIALS)
+            added = sum_partials(partials, blocks.partitions, total).collect()
+            sums = {r.fit: np.array(r.part) for r in added}
+            for i, fit in batch.items():
+                _step(fit, sums[i], newton, fit_intercept)
+
+
+def _batches(fits: dict[int, Fit], newton: bool) -> list[dict[int, Fit]]:
+    """Fits that share a pass: all of them, or as many as have Hessians of bounded size.
+
+    Hessians pass through every task and the driver; one too large to be solved there raises.
+    """
+    if not newton:
+        return [fits]
+    out: list[dict[int, Fit]] = []
+    room = 0
+    for i, fit in fits.items():
+        size = 4 * (len(fit.terms) + 1) * (len(fit.terms) + 2)
+        if size > HESSIAN_BYTES:
+            raise ValueError(
+                f"a Hessian of {len(fit.terms)} terms takes {size} bytes, more than"
+                f" {HESSIAN_BYTES}: use gradient descent"
+            )
+        if size > room:
+            out.append({})
+            room = HESSIAN_BYTES
+        out[-1][i] = fit
+        room -= size
+    return out
 
 
 def _step(fit: Fit, sums: np.ndarray, newton: bool, fit_intercept: bool) -> None:
@@ -209,9 +240,8 @@ def confusion_many(blocks: Blocks, fits: Sequence[Fit], threshold: float = 0.5)
     kernel = kernels.confusion_pass(
         blocks.width, product_plan(_longest(fits)), _groups(chosen), threshold
     )
-    with blocks.reading() as read:
-        partials = read.mapInArrow(kernel, PARTIALS)
-        added = sum_partials(partials, blocks.partitions).collect()
+    partials = blocks.read().mapInArrow(kernel, PARTIALS)
+    added = sum_partials(partials, blocks.partitions).collect()
     counts = {r.fit: r.part for r in added}
     return np.rint([counts[i] for i in chosen]).astype(np.int64)
 
@@ -229,9 +259,12 @@ def logistic_predict(
     label: str = "label",
     keys: Sequence[str] = (),
 ) -> DataFrame:
-    """``(keys.., label, prediction_prob, prediction)``; the threshold itself counts as 1.0."""
+    """``(keys.., label, prediction_prob, prediction)``; the threshold itself counts as 1.0.
+
+    A null vector or element and a vector of another length raise.
+    """
     check_threshold(threshold)
-    z = dot_constant(doubles(column(features)), model.theta) + F.lit(model.intercept)
+    z = margin(doubles(column(features)), model.theta, model.intercept)
     scored = df.select(
         *[column(k) for k in keys],
         column(label).cast("double").alias("label"),
@@ -242,13 +275,19 @@ def logistic_predict(
     )
 
 
+def margin(x: Column, theta: Sequence[float], intercept: float) -> Column:
+    """theta x + intercept; null vectors or elements and other lengths raise."""
+    z = known(dot_constant(x, theta), "feature vector or element")
+    return sized(x, len(theta), z) + F.lit(float(intercept))
+
+
 def _margins(
     df: DataFrame, theta: Sequence[float], intercept: float, features: str, label: str
 ) -> DataFrame:
     x = doubles(column(features))
     rows = df.select(
-        column(label).cast("double").alias("label"),
-        (dot_constant(x, theta) + F.lit(float(intercept))).alias("z"),
+        known(column(label).cast("double"), "label").alias("label"),
+        margin(x, theta, intercept).alias("z"),
         x.alias("x"),
     )
     return rows.withColumn("r", sigmoid(F.col("z")) - F.col("label"))
@@ -314,7 +353,7 @@ def logistic_hessian(
     features: str = "features",
 ) -> DataFrame:
     """Moment table of sum s(1-s) x xT; a bias, if any, is the last feature."""
-    sigma = sigmoid(dot_constant(doubles(column(features)), theta))
+    sigma = sigmoid(margin(doubles(column(features)), theta, 0.0))
     return gram(df, features, width=len(theta), weight=sigma * (1.0 - sigma))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from linfit.functions.features import cast_label, column
 from linfit.functions.scalar import clip_probability
+from linfit.functions.vectors import known
 from linfit.operators import kernels
 
 SCORE_TYPES = ("accuracy", "precision", "recall")
@@ -18,8 +19,9 @@ SCORE_TYPES = ("accuracy", "precision", "recall")
 def confusion_matrix(
     predictions: DataFrame, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
-    """One row of counts; a row that is none of TP, TN, FN counts as FP."""
-    said, truth = column(prediction), column(label)
+    """One row of counts; a row that is none of TP, TN, FN counts as FP, a null raises."""
+    said = known(column(prediction).cast("double"), "prediction")
+    truth = known(column(label).cast("double"), "label")
     kind = (
         F.when((said == 1.0) & (truth == 1.0), "tp")
         .when((said == 0.0) & (truth == 0.0), "tn")
@@ -68,16 +70,16 @@ def score(tp: int, tn: int, fp: int, fn: int, score_type: str = "accuracy") -> f
 def rmse(
     predictions: DataFrame, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
-    """One row ``rmse``."""
-    off = column(label) - column(prediction)
+    """One row ``rmse``; a null label or prediction raises."""
+    off = known((column(label) - column(prediction)).cast("double"), "label or prediction")
     return predictions.agg(F.sqrt(F.avg(off * off)).alias("rmse"))
 
 
 def multiclass_accuracy(
     predictions: DataFrame, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
-    """One row ``accuracy``."""
-    hit = (column(prediction) == column(label)).cast("double")
+    """One row ``accuracy``; a null label or prediction raises."""
+    hit = known((column(prediction) == column(label)).cast("double"), "label or prediction")
     return predictions.agg(F.avg(hit).alias("accuracy"))
 
 
@@ -86,7 +88,8 @@ def multiclass_cross_entropy(
 ) -> DataFrame:
     """One row ``cross_entropy``: mean of -log of the true class's clipped probability.
 
-    ``probability`` is an array column, one entry per class. A label outside it raises.
+    ``probability`` is an array column, one entry per class. A label outside it and a null raise;
+    of a NaN the mean is NaN.
     """
     for name in (label, probability):
         if name not in predictions.columns:
@@ -94,10 +97,11 @@ def multiclass_cross_entropy(
     if not isinstance(predictions.schema[probability].dataType, T.ArrayType):
         raise TypeError(f"{probability!r} must be an array; convert with vector_to_array")
     at, p = cast_label(column(label)), column(probability)
-    known = (at >= 0) & (at < F.size(p))
-    chosen = F.when(known, F.get(p, at)).otherwise(
+    inside = (at >= 0) & (at < F.size(p))
+    chosen = F.when(inside, F.get(p, at)).otherwise(
         F.raise_error(F.concat_ws(" ", F.lit("label outside the classes:"), at.cast("string")))
     )
+    chosen = known(chosen.cast("double"), "probability of the true class")
     return predictions.agg(F.avg(-F.ln(clip_probability(chosen))).alias("cross_entropy"))
 
 
@@ -108,9 +112,10 @@ def area_under_roc(predictions: DataFrame, label: str = "label", score: str = "s
     Distinct scores are dealt out by range; every partition counts its own pairs and reports one
     row, and a partition's positives also beat all negatives of the partitions below.
     """
-    positive = (column(label) == 1.0).cast("double")
-    value = F.when(column(score).isNotNull(), column(score).cast("double")).otherwise(
-        F.raise_error(F.lit("null score"))
+    positive = known((column(label) == 1.0).cast("double"), "label")
+    value = column(score).cast("double")
+    value = F.when(value.isNotNull() & ~F.isnan(value), value).otherwise(
+        F.raise_error(F.lit("null score or not a number"))
     )
     rows = predictions.select(value.alias("score"), positive.alias("pos"))
     counts = rows.groupBy("score").agg(

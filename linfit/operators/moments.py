@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linfit.functions.features import column
-from linfit.functions.vectors import doubles
+from linfit.functions.vectors import doubles, known, sized, whole
 from linfit.operators import kernels
 
 # One generated sum per matrix entry stays inside one compiled aggregate up to about here.
 MAX_GENERATED_SUMS = 66
 # From this many partials on, they are added in two steps so that no single task reads them all.
 TREE_PARTITIONS = 1024
+# Taken for the number of partitions where it is not known without a job: always two steps.
+TWO_STEPS = 1 << 12
 
 
 # What a kernel emits; as an object, since a string would be parsed again for every pass.
@@ -63,7 +65,7 @@ def column_means(df: DataFrame, features: str = "features") -> DataFrame:
 
 
 def _by_index(df: DataFrame, features: str, summary) -> DataFrame:
-    vector = array_to_vector(doubles(column(features)))
+    vector = array_to_vector(whole(doubles(column(features))))
     one = df.agg(vector_to_array(summary(vector)).alias("s"))
     return one.select(F.posexplode("s").alias("i", "v"))
 
@@ -78,7 +80,8 @@ def gram(
     """Moment table of sum w x xT over all rows.
 
     With ``width`` known and small, every entry is one generated sum inside a compiled
-    aggregate. Otherwise each partition multiplies its Arrow batches and emits one triangle.
+    aggregate. Otherwise each partition multiplies its Arrow batches and emits one square. Either
+    way a null vector, element or weight and a vector of another length raise.
     """
     if method not in ("auto", "generated", "arrow"):
         raise ValueError(f"unknown method {method!r}")
@@ -88,9 +91,12 @@ def gram(
     narrow = width is not None and width * (width + 1) // 2 <= MAX_GENERATED_SUMS
     if method == "generated" or (method == "auto" and narrow):
         return _gram_generated(df, x, width, weight)
-    inputs = [x.alias("x")] + ([weight.cast("double").alias("w")] if weight is not None else [])
+    x = x if width is None else sized(x, width, x)
+    inputs = [x.alias("x")]
+    if weight is not None:
+        inputs.append(known(weight.cast("double"), "weight").alias("w"))
     partials = df.select(*inputs).mapInArrow(kernels.gram_pass, PARTIALS)
-    return _entries(sum_partials(partials))
+    return _entries(sum_partials(partials, TWO_STEPS)).where("j <= i")
 
 
 def _entries(rows: DataFrame) -> DataFrame:
@@ -101,11 +107,9 @@ def _gram_generated(
     df: DataFrame, features: Column, width: int, weight: Column | None
 ) -> DataFrame:
     # The length check has to reach the result, or column pruning would drop it.
-    checked = F.when(F.size("x") == width, F.lit(0.0)).otherwise(
-        F.raise_error(F.lit(f"expected feature vectors of {width}"))
-    )
-    w = weight.cast("double") if weight is not None else F.lit(1.0)
-    elements = [F.get("x", F.lit(i)).alias(f"x{i}") for i in range(width)]
+    checked = sized(F.col("x"), width, F.lit(0.0))
+    w = known(weight.cast("double"), "weight") if weight is not None else F.lit(1.0)
+    elements = [known(F.get("x", F.lit(i)), "feature").alias(f"x{i}") for i in range(width)]
     rows = df.select(features.alias("x"), w.alias("w"))
     rows = rows.select("w", checked.alias("checked"), *elements)
     pairs = [(i, j) for i in range(width) for j in range(i + 1)]
@@ -144,7 +148,7 @@ def cross_moment(df: DataFrame, a: str, b: str) -> DataFrame:
     """Sum of a bT over two array columns as ``(i, j, v)``, i over ``a``, j over ``b``."""
     pair = df.select(doubles(column(a)).alias("a"), doubles(column(b)).alias("b"))
     partials = pair.mapInArrow(kernels.cross_pass, PARTIALS)
-    return _entries(sum_partials(partials))
+    return _entries(sum_partials(partials, TWO_STEPS))
 
 
 def merge_moments(*tables: DataFrame) -> DataFrame:

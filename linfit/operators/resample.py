@@ -51,7 +51,7 @@ def random_split(
 
 def check_folds(k: int) -> None:
     if not 2 <= k <= 20:
-        raise ValueError("k should be between 2 and 20, both inclusive")
+        raise ValueError(f"{k} folds: a search takes from 2 to 20")
 
 
 def with_fold(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
 from pyspark.ml.param import Param
@@ -12,9 +14,10 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linfit.functions.features import monomials, polynomial
+from linfit.functions.features import monomials
 from linfit.functions.scalar import PROBABILITY_FLOOR
-from linfit.operators.instances import pack_blocks
+from linfit.operators.errors import DivergedError
+from linfit.operators.instances import UNFOLDED, pack_blocks
 from linfit.operators.logistic import (
     Fit,
     LogisticModel,
@@ -23,9 +26,8 @@ from linfit.operators.logistic import (
     confusion_many,
     fit_many,
     graded_terms,
-    logistic_predict,
 )
-from linfit.operators.metrics import SCORE_TYPES, confusion_matrix, score, score_columns
+from linfit.operators.metrics import SCORE_TYPES, score, score_columns
 from linfit.operators.resample import check_folds
 
 SCORE_SCHEMA = "degree int, lambda double, fold int, score double"
@@ -67,13 +69,14 @@ class CVResult:
 
 
 def mean_scores(fold_scores: DataFrame, k: int) -> DataFrame:
-    """``(degree, lambda, score)``: fold scores summed and divided by k.
+    """``(degree, lambda, score)``: fold scores summed and divided by k, to twelve digits.
 
-    A point whose score is undefined in some fold, as precision without predicted positives,
+    Rows meet in any order and sums depend on it in their last bits; rounded, equal means tie in
+    every run. A point whose score is undefined in some fold, as precision without predicted positives,
     has no score.
     """
     total = F.when(F.count("score") == F.count(F.lit(1)), F.sum("score"))
-    return fold_scores.groupBy("degree", "lambda").agg((total / k).alias("score"))
+    return fold_scores.groupBy("degree", "lambda").agg(F.round(total / k, 12).alias("score"))
 
 
 def best_score(scores: DataFrame) -> DataFrame:
@@ -132,10 +135,22 @@ def score_best(
     label: str = "label",
     threshold: float = 0.5,
 ) -> DataFrame:
-    """Confusion counts and scores of the refitted winner on held-out rows, as one row."""
-    expanded = test.withColumn("_terms", polynomial(features, result.width, result.best[0]))
-    predictions = logistic_predict(expanded, result.model, threshold, "_terms", label)
-    counts = confusion_matrix(predictions)
+    """Confusion counts and scores of the refitted winner on held-out rows, as one row.
+
+    Scored block by block, like the folds of the search, so thousands of terms cost no plan.
+    """
+    with pack_blocks(test, label, features) as blocks:
+        if blocks.width != result.width:
+            raise ValueError(f"expected feature vectors of {result.width}, not {blocks.width}")
+        terms = graded_terms(blocks.width, result.best[0])
+        at = {t: v for t, v in zip(monomials(blocks.width, result.best[0]), result.model.theta)}
+        fit = Fit(terms, held_out=UNFOLDED, intercept=result.model.intercept)
+        fit.theta = np.array([at[t] for t in terms])
+        row = confusion_many(blocks, [fit], threshold)[0]
+    names = ("true_positive", "true_negative", "false_positive", "false_negative")
+    counts = result.spark.createDataFrame(
+        [tuple(map(int, row))], schema=", ".join(f"{n} long" for n in names)
+    )
     scores = [value.alias(name) for name, value in score_columns().items()]
     return counts.select("*", *scores)
 
@@ -150,7 +165,11 @@ def cross_validate_native(
     parallelism: int = 4,
     seed: int = 42,
 ) -> CrossValidatorModel:
-    """The library's search over a pipeline; folds come from a column where one is given."""
+    """The library's search over a pipeline; folds come from a column where one is given.
+
+    Its folds read the table again and again, so it is kept while the search runs. A metric that
+    is not a number raises: the search would take it for the best.
+    """
     grid = ParamGridBuilder()
     for param, values in axes:
         grid = grid.addGrid(param, list(values))
@@ -164,7 +183,14 @@ def cross_validate_native(
     )
     if fold:
         search = search.setFoldCol(fold)
-    return search.fit(df)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = search.fit(kept)
+    finally:
+        kept.unpersist()
+    if not np.isfinite(model.avgMetrics).all():
+        raise DivergedError(f"a grid point has no finite score: {list(model.avgMetrics)}")
+    return model
 
 
 def native_scores(spark: SparkSession, model: CrossValidatorModel) -> DataFrame:

@@ -181,11 +181,27 @@ def test_blocks_keep_every_row(binary):
     assert not blocks.df.is_cached
 
 
-def test_spread_only_when_too_few_partitions(spark):
+def test_spread_only_when_too_few_splits(spark, small):
     cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == cores
-    wide = spark.range(100, numPartitions=cores + 3)
-    assert spread(wide) is wide
+    table = spark.read.parquet(f"{small}/lineitem.parquet")
+    assert spread(table).rdd.getNumPartitions() == cores
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1k")
+    try:
+        assert spread(table) is table
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_overlapping_reads_leave_the_session_as_it_was(spark, binary):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    with pack_blocks(binary) as one, pack_blocks(binary) as two:
+        a, b = one.read(), two.read()
+        assert spark.conf.get(name) == before
+        assert a.count() == b.count()
+    assert spark.conf.get(name) == before
 
 
 def test_wide_gradient_equals_narrow(binary):

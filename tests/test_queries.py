@@ -3,7 +3,8 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from linfit.catalog import ORACLES, QUERIES
 from tools.check_oracles import TABLES, same_type, table
 
 ROWS_ONLY = {
@@ -26,14 +27,14 @@ def duck(small):
 
 
 def test_only_library_fits_and_samples_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, small, duck, name):
-    df = queries()[name](spark, small)
+    df = QUERIES[name](spark, small)
     mine = table(df.columns, df.collect())
-    cursor = duck.execute(oracle_sql()[name])
+    cursor = duck.execute(ORACLES[name])
     kinds = {c[0]: str(c[1]) for c in cursor.description}
     assert mine == table([c[0] for c in cursor.description], cursor.fetchall())
     assert mine[1]
@@ -42,7 +43,7 @@ def test_query_matches_sql(spark, small, duck, name):
 
 @pytest.mark.parametrize("name", ["bernoulli_sample", "logistic_multinomial"])
 def test_rows_only_queries(spark, small, name):
-    assert queries()[name](spark, small).count() > 0
+    assert QUERIES[name](spark, small).count() > 0
 
 
 def test_entry(spark):
