@@ -207,7 +207,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def drop_rejected(docs: DataFrame) -> DataFrame:
     """The documents whose language was recognised, with their own columns."""
-    kept = predict(docs, fit(docs), tuple(docs.columns))
-    if {"lang_pred", "score", "rejected"} & set(docs.columns):
-        raise ValueError("rename the columns lang_pred, score and rejected first")
-    return kept.where("not rejected").select(*docs.columns)
+    own = {c: f"_own_{c}" for c in docs.columns if c in ("lang_pred", "score", "rejected")}
+    renamed = docs.withColumnsRenamed(own)
+    found = predict(renamed, fit(docs), tuple(renamed.columns)).where("not rejected")
+    return found.select(*(F.col(own.get(c, c)).alias(c) for c in docs.columns))

@@ -425,5 +425,6 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 def keep_first(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The documents that ``near_classes`` keeps, with all their columns."""
     gone = near_classes(docs, least).where("not kept").select("doc_id").distinct()
-    return docs.join(stored(gone, "near-dropped"), "doc_id", "left_anti")
+    kept = docs.join(stored(gone, "near-dropped"), "doc_id", "left_anti")
+    return kept.select(*docs.columns)
 
