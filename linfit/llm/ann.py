@@ -95,6 +95,7 @@ def scan(
     alive = np.flatnonzero(ids != own)
     partial = np.zeros(len(alive))
     limit, seeds, read = np.inf, None, 0
+    norm = float(query @ query)
     for number, block in enumerate(blocks):
         gap = block[alive] - rotated_query[read : read + block.shape[1]]
         partial = partial + (gap * gap).sum(axis=1)
@@ -106,6 +107,8 @@ def scan(
             limit = float(np.partition(whole, k - 1)[k - 1])
         if read < dim and limit < np.inf:
             bound = limit * (1 + CERTAINTY / np.sqrt(read)) ** 2 * read / dim
+            # Stored columns are single precision: equal vectors differ by their rounding.
+            bound += 1e-5 * np.sqrt(limit * norm) + 1e-10 * norm
             stay = partial <= bound
             alive, partial = alive[stay], partial[stay]
     if seeds is not None:
