@@ -90,7 +90,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         .distinct()
     )
     pairs = stored(pairs, f"{name}-edges")
-    while True:
+    while not _stars(pairs):
         both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
         least = least.select("a", F.least("a", "m").alias("m"))
@@ -104,12 +104,14 @@ def components(edges: DataFrame, name: str) -> DataFrame:
             .union(lowest.select("a", F.col("m").alias("b")))
             .distinct()
         )
-        after = stored(small, f"{name}-star")
-        # Every vertex hangs on one parent and no parent has a parent: stars only.
-        parents = after.select(F.col("b").alias("p")).distinct()
-        tops = after.groupBy("a").agg(F.count("*").alias("n")).where("n > 1")
-        if after.join(parents, after.a == parents.p, "left_semi").isEmpty() and tops.isEmpty():
-            break
-        pairs = after
-    ids = after.select(F.col("a").alias("id"), F.col("b").alias("root"))
-    return ids.union(after.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct())
+        pairs = stored(small, f"{name}-star")
+    ids = pairs.select(F.col("a").alias("id"), F.col("b").alias("root"))
+    return ids.union(pairs.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct())
+
+
+def _stars(pairs: DataFrame) -> bool:
+    """Whether every vertex hangs on one other at most, which hangs on none."""
+    ends = pairs.select(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(pairs.select("b", F.lit(0), F.lit(1)))
+    seen = ends.groupBy("v").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    return seen.where("up > 1 or up = 1 and down > 0").isEmpty()

@@ -58,10 +58,34 @@ def probe_keys(line: Column, edits: int = EDITS) -> Column:
             low = max(-(i - 1), less - (edits + 1 - i))
             high = min(i - 1, less + (edits + 1 - i))
             for shift in range(low, high + 1):
-                at = start + shift
-                inside = (at >= 1) & (at + size - 1 <= length)
-                keys.append(F.when(inside, _key(other, i, F.substring(line, at, size))))
-    return F.array_compact(F.array(*keys))
+                # In a line shorter than its segments' shifts this cuts something else, which
+                # only makes a candidate more.
+                keys.append(_key(other, i, F.substring(line, start + shift, size)))
+    return F.array(*keys)
+
+
+def _common(a: Column, b: Column, room: Column, part) -> Column:
+    """How many characters, up to ``room``, two lines have in common at one end, by halving."""
+    def longer(n: Column, step: Column) -> Column:
+        more = n + step
+        return F.when((more <= room) & (part(a, more) == part(b, more)), more).otherwise(n)
+
+    steps = F.array(*(F.lit(1 << k) for k in range(30, -1, -1)))
+    return F.aggregate(steps, F.lit(0), longer)
+
+
+def middles(pairs: DataFrame) -> DataFrame:
+    """``x`` and ``y`` without the characters that both begin with, and then both end with."""
+    room = F.least(F.length("x"), F.length("y"))
+    head = _common(F.col("x"), F.col("y"), room, lambda s, n: F.substring(s, F.lit(1), n))
+    pairs = pairs.withColumn("head", head)
+    room = room - F.col("head")
+    pairs = pairs.withColumn("tail", _common(F.col("x"), F.col("y"), room, F.right))
+    cut = [
+        F.substring(F.col(c), F.col("head") + 1, F.length(c) - F.col("head") - F.col("tail")).alias(c)
+        for c in ("x", "y")
+    ]
+    return pairs.select(*(c for c in pairs.columns if c not in ("x", "y", "head", "tail")), *cut)
 
 
 def within_edits(a: Column, b: Column, edits: int = EDITS) -> Column:
@@ -118,9 +142,9 @@ def line_rows(docs: DataFrame) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64("text").alias("row"),
-        F.posexplode(F.split(F.coalesce("text", F.lit("")), "\r?\n")).alias("place", "line"),
-    )
-    rows = rows.withColumn("line", F.trim("line")).where("line <> ''")
+        # Trimmed before they are dealt out, so that no later expression trims a line again.
+        F.posexplode(F.transform(F.split(F.coalesce("text", F.lit("")), "\r?\n"), lambda s: F.trim(s))).alias("place", "line"),
+    ).where("line <> ''")
     return rows.withColumn("id", F.xxhash64("line")).withColumn("other", F.xxhash64(F.lit(1), "line"))
 
 
@@ -138,7 +162,8 @@ def edit_links(lines: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -
     texts = stored(texts, "line-texts")
     left = texts.select(F.col("id").alias("a"), F.col("line").alias("x"))
     right = texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
-    both = pairs.join(left, "a").join(right, "b")
+    # What two lines begin and end with costs no edit; the rest is mostly a few characters.
+    both = middles(pairs.join(left, "a").join(right, "b"))
     return both.where(within_edits(F.col("x"), F.col("y"), edits)).select("a", "b")
 
 

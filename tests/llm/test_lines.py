@@ -21,7 +21,7 @@ def distance(a: str, b: str) -> int:
 
 def edited(line: str, n: int, rng: random.Random) -> str:
     for _ in range(n):
-        i = rng.randrange(len(line))
+        i = rng.randrange(len(line) + 1)
         line = rng.choice([line[:i] + line[i + 1 :], line[:i] + rng.choice("abxé") + line[i:], line[:i] + "y" + line[i + 1 :]])
     return line
 
@@ -67,7 +67,7 @@ def rows():
     for doc in range(60):
         picked = [edited(rng.choice(bases), rng.randrange(4), rng) for _ in range(rng.randrange(5))]
         out.append((doc, "\n".join(picked + ["", "common line"])))
-    out += [(60, None), (61, ""), (62, "  \n\n"), (63, "z" * 50_000), (64, "z" * 49_999 + "y"), (65, "x\r\n" + "q" * 30)]
+    out += [(60, None), (61, ""), (62, "  \n\n"), (63, "z" * 900), (64, "z" * 899 + "y"), (65, "x\r\n" + "q" * 30)]
     out += [(66, "q" * 29 + "p"), (None, "common line\nonly here, in a row without an id"), (5, None)]
     return [(d, t) for d, t in out if (d, t) != (5, None)]
 
@@ -95,6 +95,12 @@ def test_distance_is_exact(spark):
         assert all(r.ok == (distance(r.a, r.b) <= edits) for r in got)
 
 
+def test_very_long_lines(spark):
+    rows = [(1, "z" * 60_000), (2, "z" * 59_999 + "y"), (3, "y" * 60_000)]
+    found = {r.doc_id: (r.n_links, r.dropped) for r in lines.dedup_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {1: (1, []), 2: (1, [0]), 3: (0, [])}
+
+
 def test_lines_leave_the_text_and_other_columns_stay(spark):
     rows = [(1, "first line here\nsecond", 7, "k"), (2, "first line here\nthird", 8, None), (3, None, 9, "z")]
     out = lines.dedup_lines(spark.createDataFrame(rows, SCHEMA))
