@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from linfit.llm.common import map_rows
 
 #: Pieces and chunks of text that a task remembers: the first ones it meets, so the common ones.
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -88,7 +88,7 @@ class BytePairs:
         key = left << 32 | right
         known = self.fits.get(key)
         if known is None:
-            if len(self.fits) > REMEMBERED:
+            if len(self.fits) > 2 * REMEMBERED:
                 self.fits.clear()
             known = self.fits[key] = self._fit(left, right)
         return known
