@@ -297,6 +297,8 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     good = labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
     good = good.agg(F.max("quality").alias("quality")).where("quality > 0").select("doc_id")
+    # Labels grow with the documents: one way to join them, whatever their size.
+    good = good.hint("merge")
     training = docs.where(F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     model = train(training.select("doc_id", "text").join(good, "doc_id"))
     rows = stored(score(docs, model), "perplexities")
