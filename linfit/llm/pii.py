@@ -208,9 +208,10 @@ def fit(docs: DataFrame, per_kind: int = PER_KIND, steps: int = STEPS) -> Tagger
     return tagger
 
 
-def tagged_spans(texts: list[str], tagger: Tagger) -> list[list[tuple[str, int, int]]]:
+def tagged_spans(texts: list[str | None], tagger: Tagger) -> list[list[tuple[str, int, int]]]:
     """Spans that the tagger sees in each whole text."""
     jobs, rows = [], []
+    texts = [t or "" for t in texts]
     for i, text in enumerate(texts):
         for start in windows_of(text):
             jobs.append((i, start))
@@ -263,7 +264,7 @@ def all_spans(texts: list[str | None], tagger: Tagger) -> tuple[list[list], list
     """Spans of the patterns, and these with what the tagger adds where no pattern matched."""
     base = [base_spans(t) for t in texts]
     merged = []
-    for text, own, more in zip(texts, base, tagged_spans([t or "" for t in texts], tagger), strict=True):
+    for text, own, more in zip(texts, base, tagged_spans(texts, tagger), strict=True):
         added = [
             s
             for s in more
