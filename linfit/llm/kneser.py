@@ -22,11 +22,10 @@ ORDER = 5
 #: Bytes that stand before and after a text; UTF-8 has neither.
 BEGIN, END = 0xFE, 0xFF
 #: Quantile of trusted log perplexities, in steps of ``STEP``, up to which texts are kept.
-HIGH = 0.999
+HIGH = 0.98
 STEP = 0.001
-#: What a text may exceed it by: a fixed part, and the wider spread of short texts, which falls
-#: with the root of their length.
-MARGIN, SPREAD = 0.5, 4.0
+#: What a text may exceed it by, over the root of its length: short texts spread wider.
+SPREAD = 4.0
 #: Rows of a shard: what is broadcast at one time.
 SHARD_ROWS = 2_000_000
 #: n-grams that a task counts before it passes them on, and bytes it handles at one time.
@@ -273,17 +272,22 @@ def score(docs: DataFrame, model: DataFrame) -> DataFrame:
     return each.select("doc_id", "lang", "symbols", "log_prob")
 
 
-def thresholds(trusted: DataFrame) -> DataFrame:
-    """(language, high) from (language, log_ppl) of trusted texts.
+def thresholds(trusted: DataFrame) -> tuple[DataFrame, float | None]:
+    """(language, high) from (language, log_ppl) of trusted texts, and the same over all of them.
 
     Exact quantiles of the values rounded to ``STEP``: a language has a bounded number of those.
     """
     bins = trusted.groupBy("language", F.round(F.col("log_ppl") / STEP).cast("long").alias("bin"))
-    bins = bins.agg(F.count("*").alias("n"))
+    bins = stored(bins.agg(F.count("*").alias("n")), "bins")
     up = Window.partitionBy("language").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     share = F.sum("n").over(up) / F.sum("n").over(Window.partitionBy("language"))
     ranked = bins.withColumn("share", share).where(F.col("share") >= HIGH)
-    return ranked.groupBy("language").agg((F.min("bin") * STEP).alias("high"))
+    limits = ranked.groupBy("language").agg((F.min("bin") * STEP).alias("high"))
+    rows = sorted(bins.groupBy("bin").agg(F.sum("n").alias("n")).collect())  # a row a bin
+    if not rows:
+        return limits, None
+    upto = np.cumsum([r.n for r in rows])
+    return limits, rows[int(np.argmax(upto / upto[-1] >= HIGH))].bin * STEP
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -291,9 +295,9 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Trusted are documents with a quality label of 1 (of several labels the best counts); one in
     four is kept from training and sets its language's threshold. Texts below it are kept;
-    where a language has no such text, every non-empty text is. Null and empty texts have no
-    perplexity and are not kept. Null languages are a language. Without trusted text nothing is
-    known and every non-empty text is kept.
+    where a language has no such text, the threshold is that over the texts of all languages.
+    Null and empty texts have no perplexity and are not kept. Null languages are a language.
+    Without trusted texts kept from training nothing is known and every non-empty text is kept.
     """
     good = labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
     good = good.agg(F.max("quality").alias("quality")).where("quality > 0").select("doc_id")
@@ -307,9 +311,10 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "language", F.coalesce(F.concat(F.lit("="), "lang"), F.lit("null"))
     )
     kept_back = rows.where(held_out(F.col("doc_id")) & F.col("log_ppl").isNotNull()).join(good, "doc_id")
-    limits = thresholds(kept_back.select("language", "log_ppl"))
+    limits, overall = thresholds(kept_back.select("language", "log_ppl"))
     found = rows.join(limits, "language", "left")
-    slack = MARGIN + SPREAD / F.sqrt("symbols")
+    found = found.withColumn("high", F.coalesce("high", F.lit(overall).cast("double")))
+    slack = SPREAD / F.sqrt("symbols")
     below = F.col("log_ppl") <= F.coalesce("high", F.col("log_ppl")) + slack
     return found.select(
         "doc_id",

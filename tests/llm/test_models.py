@@ -158,6 +158,28 @@ def test_quality_keeps_clean_texts_and_drops_junk(corpus, spark):
     assert all(r.kept for r in kneser.classify(docs.limit(3), labels.limit(0)).collect() if r.symbols > 1)
 
 
+def test_quality_drops_repeated_words_symbols_and_junk_of_unlabelled_languages(spark):
+    rng = random.Random(21)
+    words = ["".join(rng.choice(SYLLABLES["aa"]) for _ in range(rng.randrange(1, 4))) for _ in range(60)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    docs = [(i, prose(rng.randrange(20, 80)), "aa") for i in range(600)]
+    docs[:3] = [(i, "".join(rng.choice("XQZ!%$#") for _ in range(200)), "aa") for i in range(3)]
+    labels = [(i, 1) for i in range(600)]  # a few of the trusted are odd, as they are in the tables
+    spelt = [w[::-1] for w in words if len(w) == 4 and w[::-1] not in words]
+    junk = [(1000 + i, f"{w} " * 200, "aa") for i, w in enumerate(spelt[:8])]
+    junk += [(1100 + i, prose(200).replace(" ", " | "), "aa") for i in range(8)]
+    junk += [(1200 + i, f"{w} " * 200, "zz") for i, w in enumerate(spelt[:8])]
+    docs += junk + [(2000, prose(40), "zz"), (2001, prose(3), "aa")]
+    found = kneser.classify(
+        spark.createDataFrame(docs, "doc_id long, text string, lang string"),
+        spark.createDataFrame(labels, "doc_id long, quality int"),
+    )
+    kept = {r.doc_id: r.kept for r in found.collect()}
+    assert [i for i, _, _ in junk if kept[i]] == []
+    assert kept[2000] and kept[2001]
+    assert np.mean([kept[i] for i in range(3, 600)]) > 0.98
+
+
 def test_toxicity_on_held_out_texts(corpus, spark):
     docs, labels = corpus
     found = toxicity.score(docs, labels)
