@@ -1,7 +1,7 @@
 """Toxicity by cumulative-link ordinal regression over sparse text features.
 
-Features are words and their beginnings, chosen by how much more often toxic training texts hold
-them. One weight vector is shared by all thresholds between severity grades: the chance of a
+Features are words and their beginnings, chosen by how surely toxic training texts hold them more
+often. One weight vector is shared by all thresholds between severity grades: the chance of a
 grade above k is sigmoid(w x - t_k), with t_0 < t_1 < t_2. A document gets the expected grade.
 """
 
@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linfit.llm.common import held_out, map_rows
@@ -22,10 +22,14 @@ from linfit.llm.common import held_out, map_rows
 #: Labelled documents of each class that are learned from, those whose ids hash lowest.
 PER_CLASS = 4000
 FEATURES = 2048
-#: How far toxic training texts must be ahead in holding a feature (log odds), and that times
-#: the number of them, so that words met in a few toxic texts by chance stay out.
-LEAST_ODDS = 2.5
-LEAST_EVIDENCE = 20.0
+#: How far toxic training texts must be ahead in holding a feature (log odds), and how sure that
+#: is: the likelihood ratio statistic at the 0.005 level, one-sided. Where no feature reaches
+#: both, the ``BEST`` ones are taken.
+LEAST_ODDS = 2.0
+LEAST_RATIO = 6.63
+BEST = 16
+#: Penalty of the squared weights against the log likelihood of all training texts together.
+PENALTY = 0.3
 #: Lengths of word beginnings.
 BEGINNINGS = (4, 5, 6)
 #: Grades: 0 is not toxic; the others split the toxic training texts by how much they hold.
@@ -97,13 +101,13 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, l2: float = 1e-5, steps: int = 500
     for step in range(1, steps + 1):
         w, gaps = p[:d], np.exp(np.clip(p[d + 1 :], -8, 8))
         cuts = p[d] + np.concatenate([[0.0], np.cumsum(gaps)])
-        above[:, 1 : k + 1] = 1 / (1 + np.exp(-np.clip((x @ w)[:, None] - cuts, -60, 60)))
+        above[:, 1 : k + 1] = 1 / (1 + np.exp(-np.clip((x @ w.astype(x.dtype))[:, None] - cuts, -60, 60)))
         chance = np.maximum(above[np.arange(n), y] - above[np.arange(n), y + 1], 1e-12)
         # d log chance / d score at the upper and at the lower border of the grade.
         slope = above * (1 - above)
         low, high = slope[np.arange(n), y] / chance, slope[np.arange(n), y + 1] / chance
         g = np.zeros_like(p)
-        g[:d] = -(x.T @ (low - high)) / n + l2 * w
+        g[:d] = -(x.T @ (low - high).astype(x.dtype)) / n + l2 * w
         g_cut = np.zeros(k + 2)
         np.add.at(g_cut, y, low / n)
         np.add.at(g_cut, y + 1, -high / n)
@@ -117,12 +121,24 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, l2: float = 1e-5, steps: int = 500
     return p[:d], p[d] + np.concatenate([[0.0], np.cumsum(gaps)])
 
 
+def likelihood_ratio(bad: str, good: str, n_bad: int, n_good: int) -> Column:
+    """G statistic of a feature that so many of the toxic and of the other texts hold."""
+
+    def part(c: Column) -> Column:
+        return F.when(c > 0, c * F.log(c)).otherwise(0.0)
+
+    b, g, n = F.col(bad), F.col(good), n_bad + n_good
+    cells = part(b) + part(g) + part(n_bad - b) + part(n_good - g)
+    sides = part(b + g) + part(n - b - g) + part(F.lit(n_bad)) + part(F.lit(n_good))
+    return 2 * (cells - sides + part(F.lit(n)))
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Ordinal:
     """Learn from at most ``per_class`` toxic and as many other labelled texts.
 
     Texts that ``held_out`` names are not learned from; null texts, ids and labels neither. A
-    document with several labels is toxic if one of them says so. Without texts of both classes
-    nothing is ever toxic.
+    document with several labels is toxic if one of them says so. Without texts of both classes, or
+    a word that two toxic ones share, nothing is ever toxic.
     """
     known = labels.where("doc_id is not null and toxic is not null")
     known = known.where(~held_out(F.col("doc_id")))
@@ -152,9 +168,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Ordin
         return Ordinal({}, np.zeros(0), np.full(GRADES - 1, 50.0))
     odds = F.log((F.col("bad") + 0.5) / (n.bad + 1)) - F.log((F.col("good") + 0.5) / (n.good + 1))
     ranked = counts.where("feature <> ''").withColumn("odds", odds)
-    ranked = ranked.withColumn("evidence", F.col("bad") * F.col("odds"))
-    ranked = ranked.where((F.col("odds") >= LEAST_ODDS) & (F.col("evidence") >= LEAST_EVIDENCE))
-    top = ranked.orderBy(F.desc("evidence"), "feature").limit(FEATURES).collect()
+    ranked = ranked.withColumn("ratio", likelihood_ratio("bad", "good", n.bad, n.good))
+    ranked = ranked.where("bad > 1 and odds > 0")
+    sure = (F.col("odds") >= LEAST_ODDS) & (F.col("ratio") >= LEAST_RATIO)
+    ranked = ranked.withColumn("sure", sure).orderBy(F.desc("sure"), F.desc("ratio"), "feature")
+    top = ranked.limit(FEATURES).collect()
+    top = [r for r in top if r.sure] or top[:BEST]
     places = {r.feature: i for i, r in enumerate(top)}
     model = Ordinal(places, np.zeros(len(places)), np.full(GRADES - 1, 50.0))
     if not places:
@@ -176,7 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Ordin
     amount = x.sum(axis=1)
     cuts = np.quantile(amount[bad], np.arange(1, GRADES - 1) / (GRADES - 1))
     y = np.where(bad, 1 + np.searchsorted(cuts, amount, side="right"), 0)
-    model.weights, model.cuts = fit_ordinal(x, y)
+    model.weights, model.cuts = fit_ordinal(x, y, l2=PENALTY / len(rows))
     return model
 
 

@@ -197,6 +197,30 @@ def test_toxicity_on_held_out_texts(corpus, spark):
     assert not any(r.toxic for r in toxicity.score(docs.limit(20), labels.limit(0)).collect())
 
 
+def test_toxicity_learns_from_few_texts_and_rare_words(spark):
+    rng = random.Random(31)
+    schema = "doc_id long, text string"
+
+    def fitted(bad, good):
+        rows = [(i, t) for i, t in enumerate(bad + good)]
+        labels = [(i, int(i < len(bad))) for i in range(len(rows))]
+        labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+        labels = labels.where(~held_out(F.col("doc_id")))
+        return toxicity.fit(spark.createDataFrame(rows, schema), labels)
+
+    def said(model, text):
+        return model.grades(model.found(text))[0] >= toxicity.TOXIC
+
+    clean = lambda: text_of("aa", rng, 30)
+    few = fitted([f"{clean()} {BAD[i % 3]}" for i in range(12)], [clean() for _ in range(70)])
+    assert few.places and all(said(few, f"{clean()} {BAD[i]} {BAD[i - 1]} {clean()}") for i in range(3))
+    assert not any(said(few, clean()) for _ in range(50))
+    bad = [f"{clean()} {'rareslur' if i < 7 else rng.choice(BAD)}" for i in range(400)]
+    many = fitted(bad, [clean() for _ in range(400)])
+    assert "=rareslur" in many.places and many.weights[many.places["=rareslur"]] > 0
+    assert said(many, f"{clean()} rareslur") and not any(said(many, clean()) for _ in range(50))
+
+
 def test_ordinal_fit_orders_its_cuts():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(2000, 3))
