@@ -3,7 +3,7 @@
 A text is a vector of hashed byte 2-, 3- and 4-grams, weighted ``(1 + log tf) * idf`` and scaled
 to length 1. Each language owns several centroids, found by spherical k-means among its training
 texts. The language of the nearest centroid by cosine wins; a text further from it than the
-language's own texts are is marked rejected.
+language's own texts of that length are is marked rejected.
 """
 
 from __future__ import annotations
@@ -23,8 +23,15 @@ DIM = 1 << 13
 PER_LANGUAGE = 400
 MAX_LANGUAGES = 1000
 CENTROIDS = 4
-#: Part of a language's least training cosine below which a text is rejected.
-SLACK = 0.5
+#: A text is rejected below this part of a low quantile of the cosines that a language's texts,
+#: cut to the same length, have to centroids fitted without them. The quantile is the lower
+#: quartile, since a corpus holds junk as well.
+SLACK, LOW = 0.55, 0.25
+#: Lengths in bytes that floors are measured at, and the length from which they hold in full:
+#: shorter texts say little about their language.
+LENGTHS = tuple(1 << k for k in range(4, 13))
+FULL = 128
+PARTS = 4
 UNKNOWN = "und"
 
 
@@ -43,13 +50,35 @@ def gram_counts(text: str) -> np.ndarray:
     return counts
 
 
+def size(text: str) -> int:
+    return len(text.lower().encode("utf-8", "replace"))
+
+
+def beginnings(text: str) -> list[np.ndarray]:
+    """Counts of the text cut to each of ``LENGTHS`` that it reaches."""
+    data = text.lower().encode("utf-8", "replace")
+    return [gram_counts(data[:n].decode("utf-8", "ignore")) for n in LENGTHS if n <= len(data)]
+
+
+def packed(counts: np.ndarray) -> bytes:
+    at = np.flatnonzero(counts)
+    return np.concatenate([at, counts[at]]).astype(np.uint32).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    at, n = np.frombuffer(data, np.uint32).reshape(2, -1)
+    counts = np.zeros(DIM, np.int64)
+    counts[at] = n
+    return counts
+
+
 def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
 
 @dataclass(frozen=True)
 class Centroids:
-    """What was learned: a weight per bucket, unit centroids, their languages and floors."""
+    """What was learned: a weight per bucket, unit centroids, their languages, floors by length."""
 
     idf: np.ndarray
     centres: np.ndarray
@@ -62,6 +91,11 @@ class Centroids:
         norm = np.sqrt((x * x).sum(axis=1, keepdims=True))
         return x / np.where(norm > 0, norm, 1)
 
+    def floor(self, centre: int, n: int) -> float:
+        """The least cosine of a text of ``n`` bytes."""
+        at = np.interp(np.log2(max(n, 1)), np.log2(LENGTHS), self.floors[centre])
+        return float(at * min(1.0, n / FULL))
+
     def predict(self, texts: list[str | None]) -> dict[str, list]:
         lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
         rejected = [True] * len(texts)
@@ -73,20 +107,27 @@ class Centroids:
             for i, c, row in zip(at, best, cosine, strict=True):
                 lang[i] = self.langs[c]
                 score[i] = float(min(max(row[c], 0.0), 1.0))
-                rejected[i] = bool(row[c] < self.floors[c])
+                rejected[i] = bool(row[c] < self.floor(c, size(texts[i])))
         return {"lang_pred": lang, "score": score, "rejected": rejected}
 
 
 def k_means(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
-    """Unit centroids of unit rows; starts from rows far from each other, so without chance."""
-    centres = [x.mean(axis=0)]
-    near = x @ (centres[0] / max(np.linalg.norm(centres[0]), 1e-12))
+    """Unit centroids of unit rows, without chance.
+
+    Starts from rows far from each other among the three quarters nearest to the mean, so that
+    no odd row gets a centroid to itself at the start.
+    """
+    mean = x.mean(axis=0)
+    near = x @ (mean / max(np.linalg.norm(mean), 1e-12))
+    usual = np.flatnonzero(near >= np.quantile(near, 0.25))
+    near = near[usual]
     chosen: list[int] = []
-    for _ in range(min(k, len(x))):
+    for _ in range(min(k, len(usual))):
         i = int(near.argmin()) if chosen else int(near.argmax())
+        own = x[usual] @ x[usual[i]]
+        near = np.maximum(near, own) if chosen else own
         chosen.append(i)
-        near = x @ x[i] if len(chosen) == 1 else np.maximum(near, x @ x[i])
-    centres = x[sorted(set(chosen))]
+    centres = x[usual[sorted(set(chosen))]]
     for _ in range(rounds):
         own = (x @ centres.T).argmax(axis=1)
         sums = np.stack([x[own == j].sum(axis=0) for j in range(len(centres)) if (own == j).any()])
@@ -94,6 +135,29 @@ def k_means(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centres
 
 
+def floors_of(model: Centroids, cut: list[list[bytes]], x: np.ndarray, k: int) -> np.ndarray:
+    """Floors at ``LENGTHS`` of a language with vectors ``x``; ``cut`` has their beginnings, packed.
+
+    Each part of the texts is measured against centroids of the others. Where no text is as
+    long, the floor of the length before holds; a language of one text has no floor.
+    """
+    cosines: list[list[float]] = [[] for _ in LENGTHS]
+    part = np.arange(len(x)) % PARTS
+    for p in range(PARTS if len(x) > 1 else 0):
+        if not (part == p).any():
+            continue
+        centres = k_means(x[part != p], k)
+        for at, found in enumerate(cosines):
+            own = [unpacked(cut[i][at]) for i in np.flatnonzero(part == p) if at < len(cut[i])]
+            if own:
+                found += (model.vectors(np.stack(own)) @ centres.T).max(axis=1).tolist()
+    floors, last = [], 0.0
+    for found in cosines:
+        last = SLACK * float(np.quantile(found, LOW)) if found else last
+        floors.append(last)
+    return np.array(floors)
+
+
 def fit(
     docs: DataFrame,
     per_language: int = PER_LANGUAGE,
@@ -150,31 +214,27 @@ def fit(
     def start():
         def work(batch):
             found = [gram_counts(t.as_py()) for t in batch.column("text")]
-            at = [np.flatnonzero(c) for c in found]
+            cut = [beginnings(t.as_py()) for t in batch.column("text")]
             return {
-                "at": [a.astype(np.uint16).tobytes() for a in at],
-                "tf": [c[a].astype(np.uint32).tobytes() for c, a in zip(found, at, strict=True)],
+                "whole": [packed(c) for c in found],
+                "cut": [[packed(c) for c in several] for several in cut],
             }
 
         return work
 
-    sample = map_rows(chosen, start, "at binary, tf binary", ("lang", "h"))
+    sample = map_rows(chosen, start, "whole binary, cut array<binary>", ("lang", "h"))
     by_lang: dict[str, list] = {}
-    for r in sample.collect():  # per_language sparse rows of each language
-        by_lang.setdefault(r.lang, []).append((r.h, bytes(r.at), bytes(r.tf)))
+    for r in sample.collect():  # per_language sparse rows of each language, and their beginnings
+        by_lang.setdefault(r.lang, []).append((r.h, bytes(r.whole), [bytes(c) for c in r.cut]))
     model = Centroids(idf, np.zeros((0, DIM), np.float32), [], np.zeros(0))
     centres, langs, floors = [], [], []
     for lang in sorted(by_lang):
         own = sorted(by_lang[lang])[:per_language]
-        counts = np.zeros((len(own), DIM), np.int64)
-        for i, (_, at, tf) in enumerate(own):
-            counts[i, np.frombuffer(at, np.uint16)] = np.frombuffer(tf, np.uint32)
-        x = model.vectors(counts)
+        x = model.vectors(np.stack([unpacked(whole) for _, whole, _ in own]))
         c = k_means(x, centroids)
-        near = (x @ c.T).max(axis=1)
         centres.append(c)
         langs += [lang] * len(c)
-        floors += [SLACK * float(near.min())] * len(c)
+        floors += [floors_of(model, [cut for _, _, cut in own], x, centroids)] * len(c)
     return Centroids(idf, np.vstack(centres).astype(np.float32), langs, np.array(floors))
 
 

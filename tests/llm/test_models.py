@@ -75,6 +75,24 @@ def test_language_is_read_off_the_text_alone(corpus, spark):
     assert [r.rejected for r in langid.predict(spark.createDataFrame([("漢字" * 40,)], "text string"), model, ()).collect()] == [True]
 
 
+def test_language_rejects_noise_and_keeps_short_texts(spark):
+    rng = random.Random(41)
+    aa, bb = (["".join(rng.choice(SYLLABLES[k]) for _ in range(rng.randrange(1, 4))) for _ in range(300)] for k in ("aa", "bb"))
+    prose = lambda words, n: " ".join(rng.choice(words) for _ in range(n))
+    docs = [(i, prose((aa, bb)[i % 2], rng.randrange(30, 200)), ("aa", "bb")[i % 2]) for i in range(600)]
+    docs += [(600, "Ox.", "aa"), (602, "Q q q", "bb")]  # odd texts set no floor
+    docs = [(i, t, k) for i, t, k in docs] + [(1000 + 2 * i, rng.choice(aa), "aa") for i in range(6)]
+    model = langid.fit(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    noise = [letters(2000), letters(300), "".join(rng.choice("0123456789abcdef") for _ in range(2000))]
+    noise += ["".join(rng.choice("!#$%&*|~^ae ") for _ in range(600))]
+    noise += ["Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. " * 3]
+    assert model.predict(noise)["rejected"] == [True] * len(noise)
+    clean = [prose(w, n) for w in (aa, bb) for n in (1, 2, 3, 5, 10, 30, 100, 1000)]
+    assert model.predict(clean)["rejected"] == [False] * len(clean)
+    assert model.predict(clean)["lang_pred"] == ["aa"] * 8 + ["bb"] * 8
+
+
 def test_language_edge_tables(documents, spark):
     assert langid.identify(documents).count() == documents.count()
     none = spark.createDataFrame([], "doc_id long, text string, lang string")
