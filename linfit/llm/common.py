@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,6 +72,14 @@ def map_rows(
     return df.mapInArrow(run, out)
 
 
+def unused(name: str, columns: Iterable[str]) -> str:
+    """``name``, lengthened until no column is called so, whatever the case of its letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_out(key: Column) -> Column:
     """One key in four is kept from learning; a null key never is."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linfit.llm import ann, bpe, exact, kneser, langid, lines, mixing, near, pii, toxicity
+from linfit.llm import ann, bpe, decontam, exact, kneser, langid, lines, mixing, near, pii, toxicity
 from linfit.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,49 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of each document that are near copies of earlier lines."""
     return lines.dedup_report(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of each document that windows of benchmark items cover."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return decontam.report(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+ORACLES["op13_decontamination"] = r"""
+WITH doc AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), item AS (
+    SELECT item_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), spot AS (
+    SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+    FROM item WHERE len(w) > 0
+), pattern AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS p FROM spot
+), size AS (
+    SELECT DISTINCT n FROM pattern
+), place AS (
+    SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, size WHERE len(w) >= n
+), met AS (
+    SELECT r, i, place.n, item_id
+    FROM place JOIN pattern ON place.n = pattern.n AND array_to_string(w[i:i + place.n - 1], ' ') = p
+), hit AS (
+    SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM met) GROUP BY r
+), named AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM met WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id,
+       len(w)::BIGINT AS n_words,
+       coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""
