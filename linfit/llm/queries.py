@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linfit.llm import ann, bpe, decontam, exact, kneser, langid, lines, mixing, near, pii, toxicity
+from linfit.llm import ann, bpe, decontam, exact, kneser, langid, lines, mixing, near, pii, toxicity, variants
 from linfit.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,64 @@ SELECT doc_id,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 """
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The commoner form that each word of the documents is a slip of."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return variants.spelling_forms(variants.word_counts(docs))
+
+
+ORACLES["op12_spelling_variants"] = r"""
+WITH RECURSIVE remainder AS (
+    SELECT list(c ORDER BY b) AS t
+    FROM (SELECT b, list_reduce(list_prepend(b, range(8)),
+                                lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+          FROM (SELECT unnest(range(256)) AS b))
+), run AS (
+    SELECT doc_id, run, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(
+              translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+          FROM documents)
+    WHERE length(run) >= 7
+    GROUP BY doc_id, run
+), code AS (
+    SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM run
+), hashed AS (
+    SELECT run, n, xor(4294967295, list_reduce(
+               list_prepend(4294967295, list_transform(range(1, length(x), 2), lambda i:
+                   16 * instr('123456789ABCDEF', x[i]) + instr('123456789ABCDEF', x[i + 1]))),
+               lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+    FROM code, remainder
+), slip AS (
+    SELECT n, CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2)
+                   ELSE run END AS word
+    FROM hashed
+), word AS (
+    SELECT word, sum(n)::BIGINT AS n FROM slip WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), hole AS (
+    SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS rest
+    FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM word)
+), pair AS (
+    SELECT a.word, b.word AS near FROM hole a JOIN hole b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT hole.word, b.word FROM hole JOIN word b ON rest = b.word
+    UNION SELECT b.word, hole.word FROM hole JOIN word b ON rest = b.word
+), ranked AS (
+    SELECT pair.word, near, w.n AS near_n, count(*) OVER (PARTITION BY pair.word) AS n_near,
+           row_number() OVER (PARTITION BY pair.word ORDER BY w.n DESC, near) AS r
+    FROM pair JOIN word w ON near = w.word
+), formed AS (
+    SELECT word.word, word.n, coalesce(n_near, 0) AS n_near,
+           CASE WHEN near_n >= 10 * word.n THEN near END AS form,
+           CASE WHEN near_n >= 10 * word.n THEN near_n END AS form_n
+    FROM word LEFT JOIN ranked ON word.word = ranked.word AND r = 1
+), walk AS (
+    SELECT word, word AS top, form AS next FROM formed
+    UNION ALL
+    SELECT walk.word, walk.next, formed.form FROM walk JOIN formed ON walk.next = formed.word
+)
+SELECT formed.word, form, top AS root, n, n_near, form_n
+FROM formed JOIN walk ON formed.word = walk.word AND walk.next IS NULL
+"""
