@@ -198,7 +198,8 @@ def _table(words: DataFrame, states: bool, shortest: int) -> DataFrame:
     key = F.xxhash64("node", "tag").alias("key")
     if states:
         return made.select("word", key, "letter", "path")
-    ends = made.where("target is not null").select(key, "letter", "child", "target")
+    # Where the word ends, it stands for its node.
+    ends = made.where("target is not null").select(key, "letter", F.lit(None).cast("long").alias("child"), "target")
     # Words that go on alike share an edge.
     inner = made.where("target is null").select(key, "letter", "child", "target").distinct()
     return ends.union(inner)
