@@ -12,18 +12,23 @@ border must never join across it before the two tokens themselves are complete.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
-import re
-from collections.abc import Callable
-from itertools import chain
+from collections.abc import Callable, Iterable
+from itertools import islice
 
+import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
 from linfit.llm.common import map_rows
 
-#: Pieces and chunks of text that a task remembers: the first ones it meets, so the common ones.
-REMEMBERED = 120_000
+#: Pieces that a task remembers: the first ones it meets, so the common ones. Any others are
+#: encoded once for each slice of rows.
+REMEMBERED = 200_000
+#: Characters of texts that are cut into pieces at one time, and pieces of a longer text.
+TOGETHER = 4_000_000
+PIECES = 500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -56,6 +61,48 @@ class BytePairs:
             self.at_node[node >> 8] = rank
         self.fits: dict[int, bool] = {}
         self.splits: dict[int, tuple[int, int] | None] = {}
+        self._link()
+
+    def _link(self) -> None:
+        """From each node: the node of its longest proper ending, and the longest token it ends in.
+
+        ``shorter`` leads from a token to the next shorter one that it ends in.
+        """
+        below: list[list[tuple[int, int]]] = [[] for _ in self.at_node]
+        for key, after in self.steps.items():
+            below[key >> 8].append((key & 255, after))
+        self.ending = [0] * len(self.at_node)
+        self.longest_at = list(self.at_node)
+        self.shorter: dict[int, int] = {}
+        level = [0]
+        while level:
+            deeper = []
+            for node in level:
+                for byte, after in below[node >> 8]:
+                    back = self.ending[node >> 8]
+                    while node and (to := self.steps.get(back + byte)) is None and back:
+                        back = self.ending[back >> 8]
+                    to = (to or 0) if node else 0
+                    self.ending[after >> 8] = to
+                    token = self.at_node[after >> 8]
+                    if token < 0:
+                        self.longest_at[after >> 8] = self.longest_at[to >> 8]
+                    else:
+                        self.shorter[token] = self.longest_at[to >> 8]
+                    deeper.append(after)
+            level = deeper
+        self.sizes = {rank: len(token) for rank, token in self.tokens.items()}
+        self.moves: dict[int, int] = {}
+
+    def move(self, node: int, byte: int) -> int:
+        """The node of the longest ending of ``node``'s bytes and ``byte`` that begins a token."""
+        at = node
+        while (to := self.steps.get(at + byte)) is None and at:
+            at = self.ending[at >> 8]
+        if len(self.moves) > 2 * REMEMBERED:
+            self.moves.clear()
+        self.moves[node + byte] = to = to or 0
+        return to
 
     def split(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge made ``token``; None for a single byte.
@@ -223,62 +270,128 @@ class Prefixes:
         return self.pairs.read_back(self.last)
 
 
+class SortedPrefixes:
+    """Encodings of byte strings given in order; each goes on from the prefix it shares with the last.
+
+    Beside the last token of each prefix it keeps the node of the trie that the prefix ends in,
+    from which the tokens that end there are known.
+    """
+
+    def __init__(self, pairs: BytePairs):
+        self.pairs, self.data = pairs, b""
+        self.last: list[int] = [-1]
+        self.nodes: list[int] = [0]
+
+    def encode(self, data: bytes) -> list[int]:
+        pairs, last, nodes = self.pairs, self.last, self.nodes
+        move, fits, longest, sizes = pairs.moves.get, pairs.fits.get, pairs.longest_at, pairs.sizes
+        same = 0
+        for x, y in zip(self.data, data, strict=False):
+            if x != y:
+                break
+            same += 1
+        del last[same + 1 :], nodes[same + 1 :]
+        node = nodes[same]
+        for end in range(same + 1, len(data) + 1):
+            byte = data[end - 1]
+            to = move(node + byte)
+            node = pairs.move(node, byte) if to is None else to
+            nodes.append(node)
+            token = longest[node >> 8]
+            while token >= 0:
+                start = end - sizes[token]
+                if start:
+                    known = fits(last[start] << 32 | token)
+                    if known is None:
+                        known = pairs.fit(last[start], token)
+                else:
+                    known = pairs.whole(token)
+                if known:
+                    break
+                token = pairs.shorter[token]
+            if token < 0:
+                raise ValueError(f"no token ends at byte {end}")
+            last.append(token)
+        self.data = data
+        return pairs.read_back(last)
+
+
 class TextCodec:
-    """Texts to ids and back: every match of a pattern is encoded by itself."""
+    """Texts to ids and back: every match of a pattern, a piece, is encoded by itself."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.pairs = BytePairs(ranks)
+    def __init__(self, pairs: BytePairs, pattern: str):
+        self.pairs = pairs
         self.pattern = regex.compile(pattern)
-        self.awkward = re.compile(r" \s|\A | \Z")
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.chunks: dict[str, tuple[int, ...]] = {}
+        #: Of each piece its ids as decimals, and the bytes that they decode to.
+        self.decimals: dict[str, str] = {}
+        self.decoded: dict[str, bytes] = {}
+
+    def learn(self, pieces: set[str]) -> list[str]:
+        """Encode the pieces that are not known; returns those that are to be forgotten again."""
+        new = {p.encode("utf-8", "replace"): p for p in pieces if p not in self.decimals}
+        room = max(0, REMEMBERED - len(self.decimals))
+        prefixes, texts = SortedPrefixes(self.pairs), self.pairs.texts
+        for data in sorted(new):
+            ids, piece = prefixes.encode(data), new[data]
+            self.decimals[piece] = ",".join([texts[i] for i in ids])
+            self.decoded[piece] = self.decode(ids)
+        return list(new.values())[room:]
+
+    def coded(self, texts: list[str | None]) -> list[tuple[str, bytes]]:
+        """Ids as decimals with commas between them, and the bytes they decode to."""
+        out = []
+        while texts:
+            size, n = 0, 0
+            while n < len(texts) and (not n or size + len(texts[n] or "") <= TOGETHER):
+                size += len(texts[n] or "")
+                n += 1
+            if size > TOGETHER:
+                out.append(self._coded_long(texts[0]))
+            else:
+                out += self._coded([self.pattern.findall(t or "") for t in texts[:n]])
+            texts = texts[n:]
+        return out
 
-    def piece(self, text: str) -> tuple[int, ...]:
-        ids = self.pieces.get(text)
-        if ids is None:
-            ids = tuple(self.pairs.encode(text.encode("utf-8", "replace")))
-            if len(self.pieces) < REMEMBERED:
-                self.pieces[text] = ids
-        return ids
+    def _coded(self, found: list[list[str]]) -> list[tuple[str, bytes]]:
+        # Millions of pieces and no cycles among them: the collector would only walk over them.
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            over = self.learn(set().union(*found))
+            ids, data = self.decimals.__getitem__, self.decoded.__getitem__
+            out = [(",".join(map(ids, pieces)), b"".join(map(data, pieces))) for pieces in found]
+            for p in over:
+                del self.decimals[p], self.decoded[p]
+        finally:
+            if collects:
+                gc.enable()
+        return out
 
-    def matches(self, text: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(map(self.piece, self.pattern.findall(text))))
+    def _coded_long(self, text: str) -> tuple[str, bytes]:
+        """One text, some of its pieces at a time."""
+        matches, parts = (m.group() for m in self.pattern.finditer(text)), []
+        while some := list(islice(matches, PIECES)):
+            parts += self._coded([some])
+        return ",".join(ids for ids, _ in parts), b"".join(data for _, data in parts)
 
     def encode(self, text: str | None) -> list[int]:
-        """Ids of the whole text; null counts as empty.
-
-        No match goes on past a space after a solid character, so texts whose spaces all stand
-        alone fall apart there into chunks, most of which were met before.
-        """
-        if not text:
-            return []
-        if self.awkward.search(text):
-            return list(self.matches(text))
-        first, *rest = text.split(" ")
-        chunks = self.chunks
-        out = list(self.matches(first))
-        found = list(map(chunks.get, rest))
-        if None in found:
-            for i, ids in enumerate(found):
-                if ids is None:
-                    part = rest[i]
-                    # Letters after a space are one match.
-                    ids = self.piece(f" {part}") if part.isalpha() else self.matches(f" {part}")
-                    if len(chunks) < REMEMBERED:
-                        chunks[part] = ids
-                    found[i] = ids
-        out.extend(chain.from_iterable(found))
-        return out
+        """Ids of the whole text; null counts as empty."""
+        return ids_of(self.coded([text])[0][0]).tolist()
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.pairs.tokens.__getitem__, ids))
 
 
+def ids_of(decimals: str) -> np.ndarray:
+    return np.fromstring(decimals, np.int32, sep=",")
+
+
 def _codec_rows(docs: DataFrame, path: str, pattern: str, work, schema: str, carry) -> DataFrame:
-    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(path))  # a fixed vocabulary
+    # The automaton of a fixed vocabulary.
+    pairs = docs.sparkSession.sparkContext.broadcast(BytePairs(read_ranks(path)))
 
     def start() -> Callable:
-        codec = TextCodec(ranks.value, pattern)
+        codec = TextCodec(pairs.value, pattern)
         return lambda batch: work(codec, batch)
 
     return map_rows(docs, start, schema, carry)
@@ -288,7 +401,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``docs`` with ``ids array<int>``, the tokens of the whole text (null counts as empty)."""
 
     def work(codec: TextCodec, batch) -> dict:
-        return {"ids": [codec.encode(t) for t in batch.column("text").to_pylist()]}
+        return {"ids": [ids_of(d) for d, _ in codec.coded(batch.column("text").to_pylist())]}
 
     return _codec_rows(docs, path, pattern, work, "ids array<int>", tuple(docs.columns))
 
@@ -304,16 +417,18 @@ def decode_documents(coded: DataFrame, path: str, pattern: str) -> DataFrame:
 
 def _digested(codec: TextCodec, batch) -> dict:
     """Tokens of each whole text, decoded again; digests of both."""
-    out: dict[str, list] = {"ids": [], "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-    texts = codec.pairs.texts
-    for text in batch.column("text").to_pylist():
-        ids = codec.encode(text)
-        out["ids"].append(ids)
-        out["n_tokens"].append(len(ids))
-        decimal = ",".join(map(texts.__getitem__, ids)).encode()
-        out["ids_sha256"].append(hashlib.sha256(decimal).hexdigest())
-        out["decoded_sha256"].append(hashlib.sha256(codec.decode(ids)).hexdigest())
-    return out
+    coded = codec.coded(batch.column("text").to_pylist())
+    return {
+        "n_tokens": [ids.count(",") + bool(ids) for ids, _ in coded],
+        "ids_sha256": [hashlib.sha256(ids.encode()).hexdigest() for ids, _ in coded],
+        "decoded_sha256": [hashlib.sha256(data).hexdigest() for _, data in coded],
+        "ids": [ids for ids, _ in coded],
+    }
+
+
+def _tokenised(codec: TextCodec, batch) -> dict:
+    out = _digested(codec, batch)
+    return out | {"ids": [ids_of(d) for d in out["ids"]]}
 
 
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -323,7 +438,8 @@ def token_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document's whole text.
 
     Null texts count as empty: no tokens, the digests of nothing. Ids are digested as decimals
-    with commas between them. One row per document, repeated rows included.
+    with commas between them. One row per document, repeated rows included; an empty table gives
+    an empty table. Texts of any length are encoded whole, very long ones some pieces at a time.
     """
     rows = docs.select("doc_id", "text")
     return _codec_rows(rows, path, pattern, _digested, DIGESTS, ("doc_id",))
@@ -333,4 +449,4 @@ def token_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, source and the tokens themselves, with the columns of ``token_digests``."""
     rows = docs.select("doc_id", "source", "text")
     schema = f"ids array<int>, {DIGESTS}"
-    return _codec_rows(rows, path, pattern, _digested, schema, ("doc_id", "source"))
+    return _codec_rows(rows, path, pattern, _tokenised, schema, ("doc_id", "source"))

@@ -11,7 +11,7 @@ from linfit.llm import bpe
 
 @pytest.fixture(scope="module")
 def codec(vocabulary):
-    return bpe.TextCodec(bpe.read_ranks(vocabulary[0]), vocabulary[1])
+    return bpe.TextCodec(bpe.BytePairs(bpe.read_ranks(vocabulary[0])), vocabulary[1])
 
 
 @pytest.fixture(scope="module")
@@ -70,3 +70,26 @@ def test_table(documents, vocabulary, library, spark):
     none = spark.createDataFrame([], "doc_id long, text string, source string")
     assert bpe.token_digests(none, *vocabulary).collect() == []
     assert bpe.token_documents(none, *vocabulary).collect() == []
+
+
+def test_slices_long_texts_and_forgotten_pieces(codec, library, monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choice("abcdehinst.\n") for _ in range(rng.randrange(9))) for _ in range(rng.randrange(300))) for _ in range(40)]
+    texts += [None, "", "x" * 40_000, "é" * 5000 + " 12"]
+    want = [library.encode_ordinary(t or "") for t in texts]
+    for remembered, together, pieces in ((0, 10, 7), (50, 1000, 100), (10**6, 10**6, 10**6)):
+        for name, n in (("REMEMBERED", remembered), ("TOGETHER", together), ("PIECES", pieces)):
+            monkeypatch.setattr(bpe, name, n)
+        own = bpe.TextCodec(codec.pairs, codec.pattern.pattern)
+        coded = own.coded(texts)
+        assert [bpe.ids_of(d).tolist() for d, _ in coded] == want
+        assert [b for _, b in coded] == [(t or "").encode() for t in texts]
+        assert len(own.decimals) == len(own.decoded) <= max(remembered, 0)
+
+
+def test_another_pattern(library, vocabulary):
+    pattern = r"[a-z]+|[^a-z]+"
+    own = bpe.TextCodec(bpe.BytePairs(bpe.read_ranks(vocabulary[0])), pattern)
+    other = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=own.pairs.ranks, special_tokens={})
+    for text in ("a  b c 12 the cat, sat", "  lead and trail  ", "ünder wörld\n\n x"):
+        assert own.encode(text) == other.encode_ordinary(text)
