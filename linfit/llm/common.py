@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -31,6 +33,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Hand memory that is free back to the system; a worker process outlives its task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError, TypeError):  # only some C libraries can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batch: pa.RecordBatch, size: int = SLICE) -> Iterator[pa.RecordBatch]:
     for start in range(0, batch.num_rows, size):
         yield batch.slice(start, size)
@@ -61,13 +70,17 @@ def map_rows(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         target = arrow_schema(out)
-        for batch in batches:
-            for rows in slices(batch):
-                new = work(rows)
-                columns = [rows.column(c) for c in kept]
-                columns += [pa.array(new[f.name], target.field(f.name).type) for f in added]
-                columns = [c.cast(f.type) for c, f in zip(columns, target, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, schema=target)
+        try:
+            for batch in batches:
+                for rows in slices(batch):
+                    new = work(rows)
+                    columns = [rows.column(c) for c in kept]
+                    columns += [pa.array(new[f.name], target.field(f.name).type) for f in added]
+                    columns = [c.cast(f.type) for c, f in zip(columns, target, strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, schema=target)
+        finally:
+            work = batch = rows = new = columns = None
+            give_back()
 
     return df.mapInArrow(run, out)
 

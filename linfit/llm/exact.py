@@ -14,10 +14,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linfit.llm.common import BLANK, stored
+from linfit.llm.common import BLANK, stored, unused
 
 FAN_IN = 16
 #: Digests that a shard is to hold; their number sets the number of shards.
@@ -138,18 +138,30 @@ def exact_classes(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns.
+    """The documents that stay, with all their columns, whatever their names.
 
-    Joined back by digest and doc_id, so the texts are shuffled once; rows alike in both are
-    copies of one row, of which one stays.
+    Joined by digest and doc_id to the narrow table of what stays, so texts are shuffled once
+    and never sorted. Rows alike in both are copies of one row, of which the one with the least
+    text stays; a null doc_id is alike another null. Null texts count as empty; an empty table
+    gives an empty table.
     """
-    _, merged = digest_classes(docs)
-    best = merged.select(F.col("digest").alias("_keep_digest"), F.col("doc_id").alias("_keep_id"))
-    tagged = docs.withColumn("_digest", digest(F.col("text")))
-    joined = tagged.join(
-        best,
-        (F.col("_digest") == F.col("_keep_digest"))
-        & F.col("doc_id").cast("long").eqNullSafe(F.col("_keep_id")),
+    rows, merged = digest_classes(docs)
+    times = rows.groupBy("digest", "doc_id").agg(F.count("*").alias("times"))
+    best = merged.select("digest", "doc_id").join(
+        times.withColumnsRenamed({"digest": "d", "doc_id": "i"}), F.col("digest").eqNullSafe(F.col("d")) & F.col("doc_id").eqNullSafe(F.col("i"))
     )
-    one = Window.partitionBy("_digest", "doc_id").orderBy("text")
-    return joined.withColumn("_n", F.row_number().over(one)).where("_n = 1").select(*docs.columns)
+    best = stored(best.select("digest", "doc_id", "times"), "kept-digests")
+    own, keep = unused("digest", docs.columns), unused("keep_digest", docs.columns)
+    again, times = unused("keep_doc", docs.columns), unused("times", docs.columns)
+    best = best.withColumnsRenamed({"digest": keep, "doc_id": again, "times": times}).hint("shuffle_hash")
+    tagged = docs.withColumn(own, digest(F.col("text")))
+    same = (F.col(own) == F.col(keep)) & F.col("doc_id").cast("long").eqNullSafe(F.col(again))
+    joined = tagged.join(best, same)
+    single = joined.where(F.col(times) == 1).select(*docs.columns)
+    if best.where(F.col(times) > 1).isEmpty():
+        return single
+    # Combined before the shuffle, so many copies of one row are no hot group.
+    row = unused("row", docs.columns)
+    some = joined.where(F.col(times) > 1).groupBy(own, again)
+    some = some.agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias(row))
+    return single.union(some.select(*(F.col(row)[c].alias(c) for c in docs.columns)))

@@ -258,7 +258,12 @@ def predict(docs: DataFrame, model: Centroids, carry: tuple[str, ...]) -> DataFr
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, held_out, lang_pred, score, rejected."""
+    """One row per document: doc_id, held_out, lang_pred, score, rejected.
+
+    Repeated rows count and are answered each; of centroids equally near the first counts, in
+    code-point order of the languages. Texts of any length are read whole. An empty table gives
+    an empty table.
+    """
     found = predict(docs, fit(docs), ("doc_id",))
     return found.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected"
@@ -266,8 +271,10 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def drop_rejected(docs: DataFrame) -> DataFrame:
-    """The documents whose language was recognised, with their own columns."""
-    own = {c: f"_own_{c}" for c in docs.columns if c in ("lang_pred", "score", "rejected")}
-    renamed = docs.withColumnsRenamed(own)
-    found = predict(renamed, fit(docs), tuple(renamed.columns)).where("not rejected")
-    return found.select(*(F.col(own.get(c, c)).alias(c) for c in docs.columns))
+    """The documents whose language was recognised, with their own columns, whatever their names.
+
+    Nulls, repeats, long texts and empty tables as in ``predict``.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    found = predict(rows, fit(docs), ("row",)).where("not rejected")
+    return found.select(*(F.col("row")[c].alias(c) for c in docs.columns))

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linfit.llm.common import stored
+from linfit.llm.common import stored, unused
 
 WEIGHTS = (1, 2, 3)
 #: A document is taken this many times at most, so a source's target stops at as many sizes.
@@ -240,7 +240,9 @@ def _per_row(plan: DataFrame, n: Column) -> Column:
 def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken (words, repeats counted).
 
-    Null texts have size 0. An empty table gives an empty table.
+    Null texts have size 0, a null source is a source of its own. Rows alike in doc_id, source
+    and size share what the mix takes of them; texts of any length count whole. Ties are broken
+    by hashes of doc_id, source and size. An empty table gives an empty table.
     """
     plan = mixing_plan(docs, seed)
     each = plan.withColumn("n", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
@@ -249,20 +251,31 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
 
 def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """The mix itself: each document as often as it is taken, with all its columns."""
-    plan = mixing_plan(docs, seed).select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "rows", "copies"
-    )
-    plan = plan.where("copies > 0").withColumnsRenamed({"rows": "_rows", "copies": "_copies"})
-    sized = docs.withColumn("_words", word_count(F.col("text")))
+    """The mix itself: each document as often as it is taken, with all its columns.
+
+    Joined to the narrow plan by doc_id, source and size, so texts are shuffled once and never
+    sorted; of several rows alike in these the ones with the least texts are taken more often.
+    Columns may have any names. Nulls, repeated rows, ties and empty tables as in
+    ``mixing_plan``; texts of any length are taken whole.
+    """
+    names = {c: unused(f"plan_{c}", docs.columns) for c in ("doc_id", "source", "size", "rows", "copies")}
+    plan = mixing_plan(docs, seed).where("copies > 0").select(*(F.col(c).alias(n) for c, n in names.items()))
+    several = not plan.where(F.col(names["rows"]) > 1).isEmpty()
+    words = unused("words", docs.columns)
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & F.col("source").eqNullSafe(F.col("_source"))
-        & (F.col("_words") == F.col("_size"))
+        F.col("doc_id").eqNullSafe(F.col(names["doc_id"]))
+        & F.col("source").eqNullSafe(F.col(names["source"]))
+        & (F.col(words) == F.col(names["size"]))
     )
-    joined = sized.join(plan, same)
-    group = Window.partitionBy("doc_id", "source", "_words").orderBy("text")
-    rest = F.pmod("_copies", "_rows")
-    times = F.floor(F.col("_copies") / F.col("_rows")) + (F.row_number().over(group) <= rest).cast("long")
-    many = joined.withColumn("_times", times.cast("int")).where("_times > 0")
-    return many.select(*docs.columns, F.explode(F.sequence(F.lit(1), "_times")).alias("_copy")).drop("_copy")
+    joined = docs.withColumn(words, word_count(F.col("text"))).join(plan.hint("shuffle_hash"), same)
+    rows, copies = F.col(names["rows"]), F.col(names["copies"])
+    times = unused("times", docs.columns)
+    taken = joined.where(rows == 1).withColumn(times, copies.cast("int"))
+    if several:
+        group = Window.partitionBy("doc_id", "source", words).orderBy("text")
+        more = F.floor(copies / rows) + (F.row_number().over(group) <= F.pmod(copies, rows)).cast("long")
+        taken = taken.unionByName(joined.where(rows > 1).withColumn(times, more.cast("int")))
+    # Named apart from every column of the documents.
+    copy = unused("copy", docs.columns)
+    taken = taken.where(F.col(times) > 0).select(*docs.columns, F.explode(F.sequence(F.lit(1), times)).alias(copy))
+    return taken.drop(copy)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linfit.llm.common import components, map_rows, stored
+from linfit.llm.common import components, map_rows, stored, unused
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -212,40 +212,35 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, hi, lo (digest of the word sequence), n (words), sketch."""
+    """doc_id, text_hash, id (digest of the word sequence), n (words), sketch."""
 
     def start() -> Callable:
         hasher = WordHasher()
 
         def work(batch) -> dict:
-            hi, lo, n, sketches = [], [], [], []
+            ids, n, sketches = [], [], []
             for words in hasher(batch.column("text").to_pylist()):
-                d = xxhash.xxh3_128_intdigest(words.tobytes())
-                hi.append((d >> 64) - (1 << 63))
-                lo.append((d & (1 << 64) - 1) - (1 << 63))
+                ids.append(xxhash.xxh3_128_digest(words.tobytes()))
                 n.append(len(words))
-                sketches.append(sketch(kmers(words)).tolist())
-            return {"hi": hi, "lo": lo, "n": n, "sketch": sketches}
+                sketches.append(sketch(kmers(words)))
+            return {"id": ids, "n": n, "sketch": sketches}
 
         return work
 
-    return map_rows(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
-        start,
-        "hi long, lo long, n int, sketch array<long>",
-        ("doc_id",),
-    )
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return map_rows(rows, start, "id binary, n int, sketch array<long>", ("doc_id", "text_hash"))
 
 
-def _tokens(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Word hashes of the texts in ``ids`` (id, doc_id), as bytes."""
+def _tokens(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Word hashes, as bytes, of the texts in ``texts`` (id, doc_id, text_hash)."""
 
     def start() -> Callable:
         hasher = WordHasher()
         return lambda batch: {"words": [w.tobytes() for w in hasher(batch.column("text").to_pylist())]}
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id")
-    return map_rows(rows, start, "words binary", ("doc_id", "hi", "lo"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    rows = rows.join(texts.hint("shuffle_hash"), ["doc_id", "text_hash"]).select("id", "text")
+    return map_rows(rows, start, "words binary", ("id",)).dropDuplicates(["id"])
 
 
 def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
@@ -301,8 +296,9 @@ def _links_within(least: float):
         n = np.array([len(t) for t in texts], np.float32)
         common = _shared([labelled(t) for t in texts])
         enough = common >= least * (n[:, None] + n[None, :] - common) - 1e-3
-        enough &= (own == key[2])[:, None] & (own == key[3])[None, :]
-        if key[2] == key[3]:
+        _, one, other = key
+        enough &= (own == one)[:, None] & (own == other)[None, :]
+        if one == other:
             enough = np.triu(enough, 1)
         parent = {r: r for r in rows["root"]}
 
@@ -317,54 +313,45 @@ def _links_within(least: float):
             if a != b and similarity(texts[x], texts[y], least) >= least - 1e-12:
                 parent[a] = b
                 out.append((ids[x], ids[y]))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        return pd.DataFrame(out, columns=["a", "b"])
 
     return run
 
 
 def near_links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, id) of all documents, and components (id, root) of the texts with links.
+    """Rows (doc_id, text_hash, id) of the documents with a doc_id, and components (id, root).
 
-    ``id`` numbers the distinct word sequences by the smallest doc_id that has them; null where
-    no doc_id is known.
+    ``id`` is the digest of a word sequence, so texts that differ in blanks alone are one text
+    and two texts under one doc_id are two. Texts without a link are in no component.
     """
-    found = stored(_sketched(docs), "sketches")
-    texts = found.groupBy("hi", "lo").agg(
-        F.min("doc_id").alias("id"),
-        F.first("n").alias("n"),
-        F.first("sketch").alias("sketch"),
+    found = stored(_sketched(docs).where("doc_id is not null"), "sketches")
+    texts = found.where("n > 0").groupBy("id").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("one"), F.first("sketch").alias("sketch")
     )
-    # One id may stand for two texts where doc_ids repeat; both then belong to one document.
-    texts = stored(texts.where("id is not null and n > 0"), "sketched-texts")
-    keys = texts.select("id", "n", F.posexplode("sketch").alias("r", "key"))
-    keys = keys.dropDuplicates(["id", "r", "key"])
-    heads = keys.groupBy("r", "key").agg(F.min("id").alias("head"), F.count("*").alias("size"))
-    heads = heads.where("size > 1")
-    members = stored(keys.join(heads, ["r", "key"]).select("id", "n", "r", "key", "head", "size"), "buckets")
+    texts = stored(texts, "sketched-texts")
+    keys = texts.select("id", F.posexplode("sketch").alias("r", "value"))
+    keys = keys.select("id", F.xxhash64("r", "value").alias("key"))
+    heads = keys.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("size"))
+    members = stored(keys.join(heads.where("size > 1").select("key", "head"), "key"), "buckets")
     pairs = members.where("id <> head").groupBy("head", "id").agg(F.count("*").alias("agree"))
     pairs = pairs.where(F.col("agree") >= AGREE).select(F.col("head").alias("a"), F.col("id").alias("b"))
-    ids = texts.select(F.col("id").alias("doc_id"), "hi", "lo")
     # A pair that is verified shares AGREE buckets, so each of its texts is in as many.
-    used = members.groupBy(F.col("id").alias("doc_id")).agg(F.count("*").alias("shared"))
-    used = used.where(F.col("shared") >= AGREE).select("doc_id")
-    words = _tokens(docs, ids.join(used, "doc_id"))
-    # Where doc_ids repeat, rows of the id with another text are left out.
-    words = _matching(words)
-    words = stored(words, "word-hashes")
+    used = members.groupBy("id").agg(F.count("*").alias("shared")).where(F.col("shared") >= AGREE)
+    wanted = texts.select("id", "one.doc_id", "one.text_hash").join(used.select("id"), "id")
+    words = stored(_tokens(docs, wanted), "word-hashes")
     first = stored(_verified(pairs, words, least), "first-links")
     roots = components(first, "first")
 
     # Buckets that still hold several components; of those with the same members, one.
     placed = members.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    split = placed.groupBy("r", "key").agg(
+    split = placed.groupBy("key").agg(
         F.min("root").alias("low"),
         F.max("root").alias("high"),
         F.count("*").alias("size"),
         F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("members"),
     )
-    split = split.where("low < high and size > 2").groupBy("size", "members")
-    split = split.agg(F.min(F.struct("r", "key")).alias("one")).select("one.r", "one.key", "size")
-    open_ = placed.select("r", "key", "id", "root").join(split, ["r", "key"]).join(words, "id")
+    split = split.where("low < high and size > 2").groupBy("size", "members").agg(F.min("key").alias("key"))
+    open_ = placed.select("key", "id", "root").join(split.select("key", "size"), "key").join(words, "id")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     open_ = open_.withColumn("blocks", blocks).withColumn("own", own)
@@ -373,58 +360,66 @@ def near_links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, D
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda j: F.struct(F.least("own", j).alias("i"), F.greatest("own", j).alias("j")),
     )
-    met = open_.select("r", "key", "id", "root", "words", "own", F.explode(meets).alias("m"))
-    met = met.select("r", "key", "m.i", "m.j", "id", "root", "words", "own")
-    met = met.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "r", "key", "i", "j")
-    second = met.groupBy("r", "key", "i", "j").applyInPandas(_links_within(least), "a long, b long")
+    met = open_.select("key", "id", "root", "words", "own", F.explode(meets).alias("m"))
+    met = met.select("key", "m.i", "m.j", "id", "root", "words", "own")
+    met = met.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", "i", "j")
+    second = met.groupBy("key", "i", "j").applyInPandas(_links_within(least), "a binary, b binary")
     roots = components(stored(first.union(second), "links"), "all")
-    named = found.join(texts.select("hi", "lo", "id"), ["hi", "lo"], "left").select("doc_id", "id")
-    return named, roots
-
-
-def _matching(words: DataFrame) -> DataFrame:
-    """(id, words) of the rows whose digest is their text's."""
-
-    def start() -> Callable:
-        def work(batch) -> dict:
-            ok = []
-            for w, hi, lo in zip(*(batch.column(c).to_pylist() for c in ("words", "hi", "lo")), strict=True):
-                d = xxhash.xxh3_128_intdigest(w)
-                ok.append(hi == (d >> 64) - (1 << 63) and lo == (d & (1 << 64) - 1) - (1 << 63))
-            return {"ok": ok}
+    return found.select("doc_id", "text_hash", "id"), roots
 
-        return work
 
-    rows = map_rows(words, start, "ok boolean", ("doc_id", "words")).where("ok")
-    return rows.select(F.col("doc_id").alias("id"), "words").dropDuplicates(["id"])
+def _classes(docs: DataFrame, least: float) -> DataFrame:
+    """(doc_id, text_hash, root, class_id, class_size, kept) of the documents with a doc_id."""
+    named, roots = near_links(docs, least)
+    found = named.join(roots, "id", "left")
+    # A text without words is a class for each of its documents.
+    empty = F.unhex(F.lit(xxhash.xxh3_128_hexdigest(b"")))
+    alone = F.col("id") == empty
+    own = F.concat(F.lit(b"\0"), F.col("doc_id").cast("string").cast("binary"))
+    found = found.select("doc_id", "text_hash", "id", F.when(alone, own).otherwise(F.coalesce("root", "id")).alias("root"))
+    found = stored(found, "near-found")
+    # Members are counted before they meet, so one class of a third of all rows is no hot task.
+    heads = found.groupBy("root").agg(
+        F.min(F.struct("doc_id", "id")).alias("head"), F.count("*").alias("class_size")
+    )
+    joined = found.join(heads, "root")
+    return joined.select(
+        "doc_id",
+        "text_hash",
+        "root",
+        F.col("head.doc_id").alias("class_id"),
+        "class_size",
+        (F.struct("doc_id", "id") == F.col("head")).alias("kept"),
+    )
 
 
 def near_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """One row per document: doc_id, class_id, class_size, kept.
-
-    A class is a component of the links between texts with similarity of ``least`` or more;
-    ``class_id`` is its smallest doc_id, and the row that has it stays (of several such rows,
-    all). Texts without words (null, empty, blank) and rows without doc_id are classes of their
-    own and stay. An empty table gives an empty table.
+    """One row per document: doc_id, class_id, class_size, kept, class_text.
+
+    A class is a component of the links between texts with similarity of ``least`` or more.
+    ``class_id`` is its smallest doc_id; the row that has it stays (of rows alike in doc_id and
+    words, all; of several texts under that doc_id, the one with the least digest). Where a
+    doc_id has several texts each is in the class of its own links, and classes with one
+    ``class_id`` differ in ``class_text``, a digest. Texts without words (null, empty, blank) are
+    classes by doc_id, and rows without doc_id classes of their own, of size 1, that stay. Texts of
+    any length are compared whole; an empty table gives an empty table.
     """
-    named, roots = near_links(docs, least)
-    found = named.join(roots, "id", "left")
-    found = found.select("doc_id", F.coalesce("root", "id", "doc_id").alias("class_id"))
-    # Members are counted per text first, so one class of a third of all rows is no hot task.
-    sizes = found.groupBy("class_id").agg(F.count("*").alias("class_size"))
-    found = found.join(sizes, found.class_id.eqNullSafe(sizes.class_id), "left").drop(sizes.class_id)
-    alone = F.col("class_id").isNull()
-    return found.select(
-        "doc_id",
-        "class_id",
-        F.when(alone, 1).otherwise(F.col("class_size")).cast("long").alias("class_size"),
-        (alone | (F.col("doc_id") == F.col("class_id"))).alias("kept"),
+    found = _classes(docs, least).select(
+        "doc_id", "class_id", "class_size", "kept", F.lower(F.hex("root")).alias("class_text")
     )
+    nameless = docs.where("doc_id is null").select(
+        F.lit(None).cast("long"), F.lit(None).cast("long"), F.lit(1).cast("long"), F.lit(True), F.lit(None).cast("string")
+    )
+    return found.union(nameless)
 
 
 def keep_first(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The documents that ``near_classes`` keeps, with all their columns."""
-    gone = near_classes(docs, least).where("not kept").select("doc_id").distinct()
-    kept = docs.join(stored(gone, "near-dropped"), "doc_id", "left_anti")
-    return kept.select(*docs.columns)
+    """The documents that ``near_classes`` keeps, with all their columns, whatever their names.
 
+    Rows go by doc_id and text together, so another text under the doc_id of a copy stays.
+    """
+    doc, text = unused("gone_doc", docs.columns), unused("gone_text", docs.columns)
+    gone = _classes(docs, least).where("not kept").select(F.col("doc_id").alias(doc), F.col("text_hash").alias(text))
+    gone = stored(gone.distinct(), "near-dropped").hint("shuffle_hash")
+    same = (F.col("doc_id").cast("long") == F.col(doc)) & (F.xxhash64("text") == F.col(text))
+    return docs.join(gone, same, "left_anti")

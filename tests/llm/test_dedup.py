@@ -7,6 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from linfit.llm import exact, near
 
@@ -154,3 +155,34 @@ def test_word_hashes_do_not_depend_on_chunks(monkeypatch):
     monkeypatch.setattr(near, "CHUNK", 64)
     for a, b, t in zip(whole, near.WordHasher()(texts), texts, strict=True):
         assert np.array_equal(a, b) and len(a) == len((t or "").encode().split())
+
+
+A = "one text of seven quite plain words"
+B = "some other text that has nothing in common with it"
+
+
+def test_repeated_and_null_ids(spark):
+    rows = [(1, A), (1, B), (2, B), (None, A), (None, A), (3, ""), (4, None), (3, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near.near_classes(df).collect()
+    got = sorted((str(r.doc_id), str(r.class_id), r.class_size, r.kept) for r in found)
+    assert got == sorted([("1", "1", 1, True), ("1", "1", 2, True), ("2", "1", 2, False), ("None", "None", 1, True), ("None", "None", 1, True), ("3", "3", 2, True), ("3", "3", 2, True), ("4", "4", 1, True)])
+    assert len({r.class_text for r in found if r.doc_id in (1, 2)}) == 2
+    kept = sorted(map(str, near.keep_first(df).collect()))
+    assert kept == sorted(map(str, df.where("not (doc_id <=> 2)").collect()))
+
+
+def test_stages_take_columns_of_any_name(spark):
+    names = ("digest", "keep_digest", "keep_doc", "times", "row", "gone_doc", "gone_text", "_digest", "_n", "_keep_id", "words", "plan_size", "copy", "_id", "_words", "rejected", "lang_pred", "Size")
+    from linfit.llm import langid, mixing
+
+    rows = [(i, f"text {i % 7} " + "word " * (20 + i % 7), "en", f"s{i % 2}") for i in range(30)]
+    rows += [(None, "x y z", None, None)] * 3 + [(5, None, "fr", "s1")] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    df = df.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    for stage in (exact.keep_first, near.keep_first, mixing.mixed, langid.drop_rejected):
+        out = stage(df)
+        assert out.columns == df.columns
+        for r in out.collect():
+            assert all(r[n] == (None if r.doc_id is None else f"{n}{r.doc_id}") for n in names)
+    assert exact.keep_first(df).count() == 9
