@@ -82,9 +82,13 @@ class Blocks:
 
 
 def pack_blocks(
-    df: DataFrame, label: str = "label", features: str = "features", fold: str | None = None
+    df: DataFrame,
+    label: str = "label",
+    features: str = "features",
+    fold: str | None = None,
+    classes: int | None = 2,
 ) -> Blocks:
-    """Cache binary-labelled instances as small dense blocks.
+    """Cache instances as small dense blocks; labels are below ``classes``, or any if that is None.
 
     An iterative fit reads its table once per step. Handing Python whole matrices instead of
     rows leaves only linear algebra in that loop. Blocks are cut within partitions, so nothing
@@ -96,7 +100,7 @@ def pack_blocks(
         (column(fold).cast("int") if fold else F.lit(UNFOLDED)).alias("fold"),
         doubles(column(features)).alias("features"),
     )
-    packed = rows.mapInArrow(kernels.pack, kernels.BLOCK_SCHEMA)
+    packed = rows.mapInArrow(kernels.packer(classes), kernels.BLOCK_SCHEMA)
     packed = packed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         facts = packed.withColumn("at", F.spark_partition_id()).agg(
@@ -109,9 +113,9 @@ def pack_blocks(
         if not facts.rows:
             raise ValueError("no instances to fit on")
         if facts.unusable:
-            raise ValueError(
-                f"{facts.unusable} labels or features are null, or labels other than 0 and 1"
-            )
+            allowed = "not finite" if classes is None else f"other than 0 to {classes - 1}"
+            allowed = "other than 0 and 1" if classes == 2 else allowed
+            raise ValueError(f"{facts.unusable} labels or features are null, or labels {allowed}")
         if facts.narrow != facts.wide or facts.narrow < 1:
             raise ValueError(f"feature vectors differ in length: {facts.narrow} to {facts.wide}")
     except Exception:

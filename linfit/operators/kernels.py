@@ -49,24 +49,37 @@ def matrix(vectors: pa.ListArray) -> np.ndarray:
     return flat.reshape(len(sizes), -1)
 
 
-def pack(batches: Batches) -> Batches:
-    """Rows of (label, fold, features) to one record per block, features by columns."""
-    for batch in batches:
-        if batch.num_rows:
-            values = max(1, len(batch.column(2).flatten()))
-            rows = max(64, BLOCK_BYTES * batch.num_rows // (8 * values))
-            for start in range(0, batch.num_rows, rows):
-                yield _pack_block(batch.slice(start, rows))
+def packer(classes: int | None) -> Callable[[Batches], Batches]:
+    """Rows of (label, fold, features) to one record per block, features by columns.
+
+    Labels are the whole numbers below ``classes``, or any numbers where that is None.
+    """
+
+    def pack(batches: Batches) -> Batches:
+        for batch in batches:
+            if batch.num_rows:
+                values = max(1, len(batch.column(2).flatten()))
+                rows = max(64, BLOCK_BYTES * batch.num_rows // (8 * values))
+                for start in range(0, batch.num_rows, rows):
+                    yield _pack_block(batch.slice(start, rows), classes)
 
+    return pack
 
-def _pack_block(batch: pa.RecordBatch) -> pa.RecordBatch:
+
+def _usable_labels(y: np.ndarray, classes: int | None) -> np.ndarray:
+    if classes is None:
+        return np.isfinite(y)
+    return (y >= 0.0) & (y < classes) & (y == np.floor(y))
+
+
+def _pack_block(batch: pa.RecordBatch, classes: int | None) -> pa.RecordBatch:
     label, fold, vectors = batch.columns
     y = label.to_numpy(zero_copy_only=False).astype(np.float64)
     folds = fold.to_numpy(zero_copy_only=False).astype(np.int32)
     sizes = pc.list_value_length(vectors).fill_null(-1).to_numpy()
     values = vectors.flatten()
     unusable = (
-        int(np.count_nonzero(~((y == 0.0) | (y == 1.0))))
+        int(np.count_nonzero(~_usable_labels(y, classes)))
         + int(np.count_nonzero(sizes < 0))
         + values.null_count
     )
@@ -193,6 +206,96 @@ def confusion_pass(
     return run
 
 
+def softmax_pass(
+    width: int,
+    ids: np.ndarray,
+    held_out: np.ndarray,
+    theta: np.ndarray,
+    bias: np.ndarray,
+    floor: float | None = None,
+) -> Callable[[Batches], Batches]:
+    """Gradient, loss and count of many multinomial fits in one read of the blocks.
+
+    ``theta`` is fits x classes x features, ``bias`` fits x classes. A fit sees every row outside
+    its held-out fold; its result is the gradient by class, the intercepts' gradients, the total
+    loss and the row count. With ``floor`` it is scored instead: the loss, with probabilities no
+    less than the floor, and the count of its held-out fold alone.
+    """
+    fits, classes = bias.shape
+    flat, level = theta.reshape(fits * classes, width), bias.reshape(fits * classes, 1)
+
+    def run(batches: Batches) -> Batches:
+        sums = None
+        for y, fold, x in _blocks(batches, width):
+            z = (flat @ x + level).reshape(fits, classes, -1)
+            z -= z.max(axis=1, keepdims=True)
+            truth = (slice(None), y.astype(np.int64), np.arange(len(y)))
+            own = z[truth]
+            np.exp(z, out=z)
+            whole = z.sum(axis=1)
+            seen = held_out[:, None] != fold[None, :]
+            if floor is not None:
+                loss = -np.log(np.maximum(np.exp(own) / whole, floor)) * ~seen
+                found = np.column_stack([loss.sum(axis=1), (~seen).sum(axis=1)])
+            else:
+                loss = ((np.log(whole) - own) * seen).sum(axis=1)
+                z /= whole[:, None, :]
+                z[truth] -= 1.0
+                z *= seen[:, None, :]
+                slope = (z.reshape(fits * classes, -1) @ x.T).reshape(fits, -1)
+                found = np.column_stack([slope, z.sum(axis=2), loss, seen.sum(axis=1)])
+            sums = found if sums is None else sums + found
+        if sums is not None:
+            yield partial_batch(dict(zip(ids.tolist(), sums, strict=True)))
+
+    return run
+
+
+def softmax_scores(theta: np.ndarray, bias: np.ndarray) -> Callable[[Batches], Batches]:
+    """Rows of (keys.., features): the features replaced by the probabilities of all classes."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = matrix(batch.column(batch.num_columns - 1))
+            if x.shape[1] != theta.shape[1]:
+                raise ValueError(f"expected feature vectors of {theta.shape[1]}, not {x.shape[1]}")
+            z = x @ theta.T + bias
+            p = np.exp(z - z.max(axis=1, keepdims=True))
+            p /= p.sum(axis=1, keepdims=True)
+            ends = pa.array(np.arange(len(p) + 1) * len(bias), pa.int32())
+            vectors = pa.ListArray.from_arrays(ends, pa.array(p.ravel()))
+            names = [*batch.schema.names[:-1], "probability"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], vectors], names=names)
+
+    return run
+
+
+def fold_moments_pass(
+    width: int, shift: np.ndarray, products: bool
+) -> Callable[[Batches], Batches]:
+    """By fold: the row count, the sums of (x, y) - shift, and of their squares or products.
+
+    Products are the lower triangle of the whole square, row by row.
+    """
+    lower = np.tril_indices(width + 1)
+
+    def run(batches: Batches) -> Batches:
+        sums: dict[int, np.ndarray] = {}
+        for y, fold, x in _blocks(batches, width):
+            v = np.vstack([x, y[None, :]]) - shift[:, None]
+            for f in np.unique(fold).tolist():
+                own = v[:, fold == f]
+                second = (own @ own.T)[lower] if products else (own * own).sum(axis=1)
+                found = np.concatenate([[own.shape[1]], own.sum(axis=1), second])
+                sums[f] = sums[f] + found if f in sums else found
+        if sums:
+            yield partial_batch(sums)
+
+    return run
+
+
 def gram_pass(batches: Batches) -> Batches:
     """Sum of w x xT over (x[, w]): row i as partial i; whole rows, so that widths must agree."""
     acc = None
