@@ -9,6 +9,7 @@ from linfit.catalog import (  # noqa: F401  (importing registers the queries)
     models,
     rows,
     scans,
+    searches,
     tuning,
     vectors,
 )

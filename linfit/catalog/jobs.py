@@ -134,9 +134,6 @@ def job_multiclass_probabilities(spark: SparkSession, folder: str) -> DataFrame:
         read_csv(spark, unlabelled, leaf_schema(labelled=False), header=True),
         header_vocabulary(spark, order),
         out,
-        k=3,
-        reg_params=(0.003, 0.3),
-        max_iter=20,
     )
     return spark.read.schema("id int, probability array<double>").json(out)
 

@@ -23,6 +23,7 @@ from linfit.catalog.base import (
     sql_rounded,
 )
 from linfit.catalog.sql_fits import gradient_steps
+from linfit.functions.features import monomials
 from linfit.operators.instances import pack_blocks, spread
 from linfit.operators.logistic import Fit, fit_many, graded_terms
 from linfit.operators.metrics import AreaUnderRoc
@@ -45,7 +46,7 @@ from linfit.plans.tuning import (
 )
 from linfit.sources.files import read_table
 
-DEGREES, LAMBDAS, FOLDS, ITERATIONS = (1, 2), (0.001, 0.5), 3, 4
+DEGREES, LAMBDAS, FOLDS, ITERATIONS = (1, 2, 3), (0.001, 0.01, 0.1, 0.5), 3, 100
 RATE = 1.0
 THRESHOLD = 0.34
 
@@ -114,7 +115,8 @@ def bernoulli_sample_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _terms_sql() -> list[tuple[str, int]]:
-    return [("x0", 1), ("x0 * x0", 2), ("x1", 1), ("x0 * x1", 2), ("x1 * x1", 2)]
+    """The polynomial terms in the library's order, each with the lowest degree that has it."""
+    return [("*".join(f"x{i}" for i in t), len(t)) for t in monomials(2, max(DEGREES))]
 
 
 def _points_sql(folds: list[int]) -> str:
@@ -155,7 +157,7 @@ def _search_sql(source: str = "lines") -> str:
 
     ``source`` is ``lines``, or ``seen`` for the training split alone.
     """
-    z = " + ".join(f"f{i} * t{i}" for i in range(5)) + " + b"
+    z = " + ".join(f"f{i} * t{i}" for i in range(len(_terms_sql()))) + " + b"
     return f"""{LINE_SQL}, {SEEN_SQL}, {_points_sql(list(range(FOLDS)))},
 numbered AS (SELECT *, bucket % {FOLDS} AS fold FROM {source}),
 {gradient_steps('numbered', 'points', _terms_sql(), ITERATIONS, RATE_SQL)},

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from linfit.operators import kernels
-from linfit.operators.instances import Blocks, pack_blocks
+from linfit.operators.instances import UNFOLDED, Blocks, pack_blocks
 from linfit.operators.linear import solve_positive_definite
 from linfit.operators.moments import PARTIALS, sum_partials
 from linfit.operators.resample import check_folds
@@ -52,13 +52,16 @@ class FoldMoments:
 
 
 def fold_moments(blocks: Blocks, k: int, products: bool = False) -> FoldMoments:
-    """One pass over the blocks; rows without a fold from 0 to k-1 raise."""
+    """One pass over the blocks; rows without a fold from 0 to k-1 raise.
+
+    Blocks that carry no folds are one fold.
+    """
     first = blocks.df.select("y", "x").first()
     x = np.frombuffer(first.x, np.float64).reshape(blocks.width, -1)
     shift = np.append(x.mean(axis=1), np.frombuffer(first.y, np.float64).mean())
     kernel = kernels.fold_moments_pass(blocks.width, shift, products)
     added = sum_partials(blocks.read().mapInArrow(kernel, PARTIALS), blocks.partitions).collect()
-    sums = {r.fit: np.array(r.part) for r in added}
+    sums = {0 if k == 1 and r.fit == UNFOLDED else r.fit: np.array(r.part) for r in added}
     if not set(sums) <= set(range(k)):
         raise ValueError(f"folds must be 0 to {k - 1}, not {sorted(sums)}")
     d = blocks.width + 1

@@ -11,7 +11,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from linfit.functions.features import column
 from linfit.functions.scalar import PROBABILITY_FLOOR
@@ -171,7 +170,7 @@ def multinomial_fit(
     check_parameters(classes, [l2], max_iter, tol)
     if method not in ("quasi-newton", "gradient"):
         raise ValueError(f"unknown method {method!r}: use 'quasi-newton' or 'gradient'")
-    with pack_blocks(df.withColumn("__fold", F.lit(0)), label, features, "__fold", classes) as blocks:
+    with pack_blocks(df, label, features, classes=classes) as blocks:
         scaling = fold_moments(blocks, 1).scaling(None) if standardize else None
         task = make_task(l2, NO_FOLD, scaling, blocks.width)
         if method == "gradient":

@@ -32,6 +32,11 @@ from linfit.operators.encoding import fit_scaling, label_map, label_map_differen
 from linfit.operators.instances import spread
 from linfit.operators.linear import LinearModel, linear_predict, ridge_fit, ridge_native
 from linfit.operators.metrics import multiclass_accuracy, rmse
+from linfit.operators.multinomial import (
+    MultinomialSearch,
+    cross_validate_multinomial,
+    multinomial_predict,
+)
 from linfit.operators.resample import holdout, with_fold
 from linfit.plans.tuning import (
     CVResult,
@@ -223,7 +228,7 @@ def click_job(
 
 @dataclass
 class LeafResult:
-    search: CrossValidatorModel
+    search: MultinomialSearch | CrossValidatorModel
     probabilities: DataFrame
     fitted_labels: DataFrame
     label_difference: DataFrame
@@ -252,25 +257,41 @@ def leaf_job(
     k: int = 10,
     reg_params: Sequence[float] = (0.000003, 0.00003, 0.0003, 0.003, 0.03, 0.3),
     max_iter: int = 400,
+    tol: float = 1e-6,
+    solver: str = "own",
     parallelism: int = 4,
 ) -> LeafResult:
     """Choose the regularisation by cross-entropy, write class probabilities of unlabelled rows.
 
-    Probabilities come in the vocabulary's order. The fold is a hash of the row's id.
+    Probabilities come in the vocabulary's order. The fold is a hash of the row's id. ``own`` fits
+    all folds and penalties in the same passes; ``library`` fits them one after another.
     """
+    if solver not in ("own", "library"):
+        raise ValueError(f"unknown solver {solver!r}: use 'own' or 'library'")
     stages = leaf_stages(vocabulary, columns, max_iter)
-    search = cross_validate_native(
-        spread(with_fold(train, ["id"], k)),
-        stages,
-        [(stages[-1].regParam, reg_params)],
-        cross_entropy_evaluator(),
-        k,
-        fold="fold",
-        parallelism=parallelism,
-    )
-    probabilities = search.bestModel.transform(test).select("id", "probability")
+    folded = spread(with_fold(train, ["id"], k))
+    if solver == "own":
+        rows = stages[0].transform(folded).select("label", "fold", assemble(columns).alias("features"))
+        search = cross_validate_multinomial(
+            rows, k, reg_params, len(vocabulary), max_iter=max_iter, tol=tol
+        )
+        asked = test.select("id", assemble(columns).alias("features"))
+        probabilities = multinomial_predict(asked, search.model, keys=["id"])
+        labels = stages[0].labels
+    else:
+        search = cross_validate_native(
+            folded,
+            stages,
+            [(stages[-1].regParam, reg_params)],
+            cross_entropy_evaluator(),
+            k,
+            fold="fold",
+            parallelism=parallelism,
+        )
+        probabilities = search.bestModel.transform(test).select("id", "probability")
+        labels = search.bestModel.stages[0].labels
     write_probabilities(probabilities, out)
-    fitted = label_map(spark, search.bestModel.stages[0].labels)
+    fitted = label_map(spark, labels)
     return LeafResult(
         search,
         probabilities,

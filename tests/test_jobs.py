@@ -53,12 +53,13 @@ def test_click_job(spark, small, tmp_path):
     assert written.columns == ["prediction"] and written.count() == table.count()
 
 
-def test_leaf_job(spark, small, tmp_path):
+@pytest.mark.parametrize("solver", ["own", "library"])
+def test_leaf_job(spark, small, tmp_path, solver):
     table = leaves(spark, small)
     names = sorted({r.species for r in table.select("species").distinct().collect()})[::-1]
     out = J.leaf_job(
         spark, table, table.drop("species"), names, str(tmp_path / "out"),
-        columns=[f"margin{i}" for i in range(1, 17)], k=2, reg_params=(0.3,), max_iter=2,
+        columns=[f"margin{i}" for i in range(1, 17)], k=2, reg_params=(0.3,), max_iter=2, solver=solver,
     )
     assert out.label_difference.count() == 0
     assert [r.value for r in out.fitted_labels.orderBy("idx").collect()] == names
@@ -70,3 +71,20 @@ def test_leaf_job(spark, small, tmp_path):
     assert len(rows) == table.count()
     assert all(len(r["probability"]) == len(names) for r in rows)
     assert all(abs(sum(r["probability"]) - 1) < 1e-9 for r in rows)
+
+
+def test_own_and_library_searches_agree(spark, small, tmp_path):
+    table = leaves(spark, small).limit(200)
+    names = sorted({r.species for r in table.select("species").distinct().collect()})
+    own, library = (
+        J.leaf_job(
+            spark, table, table.drop("species"), names, str(tmp_path / solver),
+            columns=[f"margin{i}" for i in range(1, 9)], k=3, reg_params=(0.3, 0.03), max_iter=200, tol=1e-9,
+            solver=solver,
+        )
+        for solver in ("own", "library")
+    )
+    assert list(own.search.means.values()) == pytest.approx(library.search.avgMetrics, abs=1e-4)
+    mine = {r.id: r.probability for r in own.probabilities.collect()}
+    for r in library.probabilities.collect():
+        assert np.allclose(mine[r.id], r.probability.toArray(), atol=1e-3)
