@@ -1,10 +1,10 @@
 """Line deduplication by a segment-partition edit join, with DataFrame operations only.
 
-Two lines are near copies if at most ``EDITS`` edits lead from one to the other. A line is cut
-into ``EDITS`` + 1 segments, one of which an edited copy must hold unchanged, at a place that the
-two lengths and the edits to the left and right of it leave open. So each line stands in an index
-under its segments, by length and number, and probes the index of each length it may meet with
-the few substrings that can match. Candidates are verified by an edit distance that keeps, for
+Two lines are near copies if at most ``EDITS`` edits, fewer for short lines, lead from one to the
+other. A line is cut into one segment more than that, one of which an edited copy must hold
+unchanged, at a place that the two lengths and the edits to the left and right of it leave open.
+So each line stands in an index under its segments, by length and number, and probes the index of
+each length it may meet with the few substrings that can match. Candidates are verified by an edit distance that keeps, for
 each number of edits, the reachable diagonals of the band as the bits of one integer.
 
 Lines that are near copies, directly or through others, form a class, of which the first line
@@ -16,14 +16,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linfit.llm.common import components, stored
+from linfit.llm.common import components, stored, unused
 
 EDITS = 2
-#: Lines of fewer characters are copies only of equal lines.
-SHORTEST = 20
+#: Edits that are allowed grow with the length of the longer line: none below the first of these
+#: lengths, one from there on, two from the next.
+LENGTHS = (6, 12)
 _LAST = (1 << 63) - 1
 
 
+def allowed(length: Column) -> Column:
+    """Edits that two lines may be apart, the longer of which has ``length`` characters."""
+    out = F.lit(0)
+    for edits, least in enumerate(LENGTHS, 1):
+        out = F.when(length >= least, edits).otherwise(out)
+    return out
+
+
 def segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
     """Start (from 1) and length of the i-th segment (from 1); the last ones are longer by one."""
     short = F.floor(length / (edits + 1)).cast("int")
@@ -33,8 +42,8 @@ def segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
     return start, (short + (F.lit(i) >= first_long).cast("int")).cast("int")
 
 
-def _key(length: Column, i: int, text: Column) -> Column:
-    return F.xxhash64(length.cast("int"), F.lit(i), text)
+def _key(length: Column, i: int, edits: int, text: Column) -> Column:
+    return F.xxhash64(length.cast("int"), F.lit(i + 10 * edits), text)
 
 
 def index_keys(line: Column, edits: int = EDITS) -> Column:
@@ -43,7 +52,7 @@ def index_keys(line: Column, edits: int = EDITS) -> Column:
     keys = []
     for i in range(1, edits + 2):
         start, size = segment(length, i, edits)
-        keys.append(_key(length, i, F.substring(line, start, size)))
+        keys.append(_key(length, i, edits, F.substring(line, start, size)))
     return F.array(*keys)
 
 
@@ -60,7 +69,7 @@ def probe_keys(line: Column, edits: int = EDITS) -> Column:
             for shift in range(low, high + 1):
                 # In a line shorter than its segments' shifts this cuts something else, which
                 # only makes a candidate more.
-                keys.append(_key(other, i, F.substring(line, start + shift, size)))
+                keys.append(_key(other, i, edits, F.substring(line, start + shift, size)))
     return F.array(*keys)
 
 
@@ -134,92 +143,133 @@ def within_edits(a: Column, b: Column, edits: int = EDITS) -> Column:
     return F.when(F.abs(m - n) > edits, F.lit(False)).otherwise(reached)
 
 
+def _lines(text: Column) -> Column:
+    return F.transform(F.split(F.coalesce(text, F.lit("")), "\r?\n"), lambda s: F.trim(s))
+
+
 def line_rows(docs: DataFrame) -> DataFrame:
     """(doc_id, row, place, line, id, other): the lines that are not empty, spaces trimmed.
 
-    ``id`` and ``other`` are hashes of the line. Rows with one doc_id and text are one document.
+    ``id`` and ``other`` are hashes of the line, ``row`` is one of the text.
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64("text").alias("row"),
         # Trimmed before they are dealt out, so that no later expression trims a line again.
-        F.posexplode(F.transform(F.split(F.coalesce("text", F.lit("")), "\r?\n"), lambda s: F.trim(s))).alias("place", "line"),
+        F.posexplode(_lines(F.col("text"))).alias("place", "line"),
     ).where("line <> ''")
     return rows.withColumn("id", F.xxhash64("line")).withColumn("other", F.xxhash64(F.lit(1), "line"))
 
 
-def edit_links(lines: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
-    """Pairs (a, b), a < b, of the hashes of all different lines within ``edits`` edits."""
-    long = lines.where(F.length("line") >= shortest).select("id", "line")
-    # Copies of a line give one row of the index each; a shorter line never probes a longer one.
-    index = long.select("id", F.explode(index_keys(F.col("line"), edits)).alias("key")).distinct()
-    probes = long.select(F.col("id").alias("from"), F.explode(probe_keys(F.col("line"), edits)).alias("key"))
-    met = probes.join(index, (probes.key == index.key) & (F.col("from") != F.col("id")))
+def _classes_of_length(make, lengths) -> Column:
+    """Keys for each number of edits, of the lines whose length has a part in it."""
+    none = F.array().cast("array<bigint>")
+    length = F.length("line")
+    keys = []
+    for edits, (low, high) in lengths.items():
+        inside = (length >= low) & (length < high if high else F.lit(True))
+        keys.append(F.when(inside, make(F.col("line"), edits)).otherwise(none))
+    return F.concat(*keys)
+
+
+def edit_links(lines: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of the hashes of all different lines that are near copies.
+
+    ``lines`` has ``line``; copies of a line are brought down to one before anything is probed.
+    """
+    distinct = stored(lines.select("line").distinct(), "line-texts").withColumn("id", F.xxhash64("line"))
+    ends = (*LENGTHS[1:], None)
+    probing = {e: (low, high) for e, (low, high) in enumerate(zip(LENGTHS, ends, strict=True), 1)}
+    # A line is met by longer ones, which have up to that many more characters.
+    indexed = {e: (low - e, high) for e, (low, high) in probing.items()}
+    index = distinct.select("id", F.explode(_classes_of_length(index_keys, indexed)).alias("key"))
+    probes = distinct.select(F.col("id").alias("from"), F.explode(_classes_of_length(probe_keys, probing)).alias("key"))
+    met = probes.join(index.hint("shuffle_hash"), "key").where(F.col("from") != F.col("id"))
     pairs = met.select(F.least("from", "id").alias("a"), F.greatest("from", "id").alias("b"))
     pairs = stored(pairs.distinct(), "line-candidates")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = long.join(ids, "id", "left_semi").dropDuplicates(["id"])
-    texts = stored(texts, "line-texts")
+    texts = stored(distinct.join(ids.hint("shuffle_hash"), "id", "left_semi"), "line-met")
     left = texts.select(F.col("id").alias("a"), F.col("line").alias("x"))
     right = texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
-    # What two lines begin and end with costs no edit; the rest is mostly a few characters.
-    both = middles(pairs.join(left, "a").join(right, "b"))
-    return both.where(within_edits(F.col("x"), F.col("y"), edits)).select("a", "b")
-
-
-def line_classes(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
-    """(doc_id, row, place, links, kept): one row per line that is not empty."""
+    both = pairs.join(left, "a").join(right, "b")
+    both = both.withColumn("most", allowed(F.greatest(F.length("x"), F.length("y"))))
+    # What two lines begin and end with costs no edit; the rest is mostly a few characters. It is
+    # stored, or the filter would be worked out within the very expressions that cut it.
+    cut = stored(middles(both), "line-middles")
+    x, y = F.col("x"), F.col("y")
+    near = F.lit(False)
+    for edits in range(1, EDITS + 1):
+        near = F.when(F.col("most") == edits, within_edits(x, y, edits)).otherwise(near)
+    return cut.where(near).select("a", "b")
+
+
+def line_classes(docs: DataFrame) -> DataFrame:
+    """(doc_id, row, place, links, kept): the places of lines that have copies or links.
+
+    A line that stands in one place and is a near copy of none is kept and not listed.
+    """
     lines = line_rows(docs)
-    links = stored(edit_links(lines, edits, shortest), "line-links")
+    links = stored(edit_links(lines), "line-links")
     ends = links.select(F.col("a").alias("id")).union(links.select("b"))
     degree = ends.groupBy("id").agg(F.count("*").alias("links"))
     known = components(links, "line").join(degree, "id")
+    # Rows alike in doc_id and text are one document, so their places are too.
+    spots = stored(lines.select("doc_id", "row", "place", "id", "other").distinct(), "line-places")
     # Equal lines first: one row each, wherever they stand.
     where = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("d"), F.col("row").alias("r"), F.col("place").alias("p"))
-    spots = lines.select("doc_id", "row", "place", "id", "other")
-    equal = spots.groupBy("id", "other").agg(F.min(where).alias("first"))
-    equal = stored(equal.join(known, "id", "left"), "equal-lines")
+    equal = spots.groupBy("id", "other").agg(F.min(where).alias("first"), F.count("*").alias("n"))
+    equal = equal.join(known, "id", "left").where("n > 1 or root is not null")
+    equal = stored(equal, "equal-lines")
     heads = equal.where("root is not null").groupBy("root").agg(F.min("first").alias("head"))
     equal = equal.join(heads, "root", "left").select(
         "id", "other", F.coalesce("head", "first").alias("head"), F.coalesce("links", F.lit(0)).cast("long").alias("links")
     )
+    # The few lines that stand in very many places are split by the planner: the other side is narrow.
     found = spots.join(equal, ["id", "other"])
     return found.select("doc_id", "row", "place", "links", (where == F.col("head")).alias("kept"))
 
 
-def dedup_report(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
+def dedup_report(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_lines, n_dropped, n_links, dropped (places from 0).
 
     Lines are what stands between line breaks, without spaces around it; empty ones are neither
-    counted nor dropped. ``n_links`` counts, for each line, the different lines that are near
-    copies of it. Rows alike in doc_id and text are one document. Null and empty texts have no
-    lines. Null doc_ids come after all others. An empty table gives an empty table.
+    counted nor dropped. Two lines are near copies if they are equal, or if the edits between them
+    are no more than the longer one's length allows (see ``LENGTHS``). Of a class the first line
+    stays, by doc_id, text hash and place. ``n_links`` counts, for each line, the different lines
+    that are near copies of it. Rows alike in doc_id and text are one document. Null and empty
+    texts have no lines; lines of any length are compared whole. Null doc_ids come after all
+    others. An empty table gives an empty table.
     """
-    each = line_classes(docs, edits, shortest).groupBy("doc_id", "row").agg(
-        F.count("*").alias("n_lines"),
+    each = line_classes(docs).groupBy("doc_id", "row").agg(
         F.sum((~F.col("kept")).cast("long")).alias("n_dropped"),
         F.sum("links").alias("n_links"),
         F.sort_array(F.collect_list(F.when(~F.col("kept"), F.col("place")))).alias("dropped"),
     )
-    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row")).distinct()
+    n_lines = F.size(F.filter(_lines(F.col("text")), lambda s: s != "")).cast("long")
+    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), n_lines.alias("n_lines")).distinct()
     same = every.doc_id.eqNullSafe(each.doc_id) & (every.row == each.row)
     return every.join(each, same, "left").select(
         every.doc_id,
-        F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),
+        "n_lines",
         F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"),
     )
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
-    """``docs`` with the lines taken out of ``text`` that are copies of an earlier line."""
-    gone = line_classes(docs, edits, shortest).where("not kept").groupBy(
-        F.col("doc_id").alias("_id"), F.col("row").alias("_row")
-    ).agg(F.collect_set("place").alias("_gone"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_row"))
+def dedup_lines(docs: DataFrame) -> DataFrame:
+    """``docs`` with the lines taken out of ``text`` that are near copies of an earlier line.
+
+    Columns may have any names; a text that loses no line stays as it is, and every row of a
+    repeated document loses the same lines. Nulls, empty and long texts as in ``dedup_report``.
+    """
+    doc, row, gone = (unused(c, docs.columns) for c in ("gone_doc", "gone_row", "gone"))
+    drop = line_classes(docs).where("not kept").groupBy(F.col("doc_id").alias(doc), F.col("row").alias(row))
+    drop = drop.agg(F.collect_set("place").alias(gone))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(row))
     lines = F.transform(F.split("text", "\r?\n"), lambda line, i: F.struct(line.alias("line"), i.alias("i")))
-    left = F.filter(lines, lambda s: ~F.array_contains(F.col("_gone"), s["i"]))
+    left = F.filter(lines, lambda s: ~F.array_contains(F.col(gone), s["i"]))
     text = F.array_join(F.transform(left, lambda s: s["line"]), "\n")
-    joined = docs.join(gone, same, "left")
-    return joined.select(*(F.when(F.col("_gone").isNull(), F.col("text")).otherwise(text).alias("text") if c == "text" else F.col(c) for c in docs.columns))
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(text).alias("text")
+    joined = docs.join(drop.hint("shuffle_hash"), same, "left")
+    return joined.select(*(text if c == "text" else F.col(c) for c in docs.columns))
