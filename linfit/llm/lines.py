@@ -97,6 +97,20 @@ def middles(pairs: DataFrame) -> DataFrame:
     return pairs.select(*(c for c in pairs.columns if c not in ("x", "y", "head", "tail")), *cut)
 
 
+def may_be_near(a: Column, b: Column) -> Column:
+    """What two edits or fewer imply where both ends differ: the first and the last character of
+    the alignment are edits, so all between them is equal. False for nearly all other pairs."""
+    def inner(s: Column, first: int, last: int) -> Column:
+        return F.substring(s, F.lit(first + 1), F.length(s) - first - last)
+
+    ends = [(1, 1), (1, 0), (0, 1)]
+    out = F.length(a) + F.length(b) <= 4
+    for fa, fb in ends:
+        for la, lb in ends:
+            out = out | (inner(a, fa, la) == inner(b, fb, lb))
+    return out
+
+
 def within_edits(a: Column, b: Column, edits: int = EDITS) -> Column:
     """Whether at most ``edits`` edits lead from ``a`` to ``b``, null if one is null.
 
@@ -195,12 +209,13 @@ def edit_links(lines: DataFrame) -> DataFrame:
     both = both.withColumn("most", allowed(F.greatest(F.length("x"), F.length("y"))))
     # What two lines begin and end with costs no edit; the rest is mostly a few characters. It is
     # stored, or the filter would be worked out within the very expressions that cut it.
-    cut = stored(middles(both), "line-middles")
     x, y = F.col("x"), F.col("y")
+    cut = middles(both.where(F.abs(F.length("x") - F.length("y")) <= F.col("most")))
+    cut = stored(cut, "line-middles").where(may_be_near(x, y))
     near = F.lit(False)
     for edits in range(1, EDITS + 1):
         near = F.when(F.col("most") == edits, within_edits(x, y, edits)).otherwise(near)
-    return cut.where(near).select("a", "b")
+    return stored(cut, "line-ends").where(near).select("a", "b")
 
 
 def line_classes(docs: DataFrame) -> DataFrame:

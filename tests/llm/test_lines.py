@@ -105,6 +105,19 @@ def test_distance_is_exact(spark):
         assert all(r.ok == (distance(r.a, r.b) <= edits) for r in got)
 
 
+def test_pairs_within_two_edits_pass_the_ends_test(spark):
+    rng = random.Random(12)
+    pairs = []
+    for _ in range(3000):
+        a = "".join(rng.choice("ab") for _ in range(rng.randrange(0, 9)))
+        b = "".join(rng.choice("ab") for _ in range(rng.randrange(0, 9)))
+        pairs.append((a, b, 0))
+    cut = lines.middles(spark.createDataFrame(pairs, "x string, y string, n int")).collect()
+    df = spark.createDataFrame([(r.x, r.y) for r in cut], "x string, y string")
+    for r in df.select("x", "y", lines.may_be_near(F.col("x"), F.col("y")).alias("ok")).collect():
+        assert r.ok or distance(r.x, r.y) > 2, r
+
+
 def test_very_long_lines(spark):
     rows = [(1, "z" * 60_000), (2, "z" * 59_999 + "y"), (3, "y" * 60_000)]
     found = {r.doc_id: (r.n_links, r.dropped) for r in lines.dedup_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
