@@ -297,7 +297,7 @@ def fold_moments_pass(
 
 
 def gram_pass(batches: Batches) -> Batches:
-    """Sum of w x xT over (x[, w]): row i as partial i; whole rows, so that widths must agree."""
+    """Sum of w x xT over (x[, w]): row i up to its diagonal as partial i, the width in front."""
     acc = None
     for batch in batches:
         if batch.num_rows:
@@ -311,7 +311,8 @@ def gram_pass(batches: Batches) -> Batches:
                 raise ValueError(f"feature vectors differ in length: {len(acc)} and {len(found)}")
             acc = found if acc is None else acc + found
     if acc is not None:
-        yield partial_batch(dict(enumerate(acc)))
+        width = [float(len(acc))]
+        yield partial_batch({i: np.append(width, row[: i + 1]) for i, row in enumerate(acc)})
 
 
 def cross_pass(batches: Batches) -> Batches:

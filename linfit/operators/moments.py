@@ -23,8 +23,6 @@ from linfit.operators import kernels
 MAX_GENERATED_SUMS = 66
 # From this many partials on, they are added in two steps so that no single task reads them all.
 TREE_PARTITIONS = 1024
-# Taken for the number of partitions where it is not known without a job: always two steps.
-TWO_STEPS = 1 << 12
 
 
 # What a kernel emits; as an object, since a string would be parsed again for every pass.
@@ -45,13 +43,30 @@ def part_sum() -> Column:
 
 
 def sum_partials(partials: DataFrame, partitions: int = 0, total: Column | None = None) -> DataFrame:
-    """Element-wise sum of ``part`` per ``fit``, in two steps for very many partitions."""
+    """Element-wise sum of ``part`` per ``fit``, in two steps for very many partitions.
+
+    Where ``partials`` carry a ``width``, its ``low`` and ``high`` come along.
+    """
     total = part_sum() if total is None else total
+    low, high = "width", "width"
     if partitions > TREE_PARTITIONS:
         salt = F.spark_partition_id() % int(partitions**0.5)
-        salted = partials.withColumn("salt", salt)
-        partials = salted.groupBy("fit", "salt").agg(total)
-    return partials.groupBy("fit").agg(total)
+        salted = partials.withColumn("salt", salt).groupBy("fit", "salt")
+        if "width" in partials.columns:
+            partials, low, high = salted.agg(total, F.min("width").alias("low"), F.max("width").alias("high")), "low", "high"
+        else:
+            partials = salted.agg(total)
+    if not {"width", "low"} & set(partials.columns):
+        return partials.groupBy("fit").agg(total)
+    return partials.groupBy("fit").agg(total, F.min(low).alias("low"), F.max(high).alias("high"))
+
+
+def likely_partitions(df: DataFrame) -> int:
+    """At least the number of partitions that ``df`` has, judged by the planner's size, without a job."""
+    spark = df.sparkSession
+    conf = spark._jsparkSession.sessionState().conf()
+    size = int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
+    return max(size // conf.filesMaxPartitionBytes() + 1, conf.numShufflePartitions(), spark.sparkContext.defaultParallelism)
 
 
 def vector_sum(df: DataFrame, features: str = "features") -> DataFrame:
@@ -96,7 +111,10 @@ def gram(
     if weight is not None:
         inputs.append(known(weight.cast("double"), "weight").alias("w"))
     partials = df.select(*inputs).mapInArrow(kernels.gram_pass, PARTIALS)
-    return _entries(sum_partials(partials, TWO_STEPS)).where("j <= i")
+    rows = sum_partials(partials.withColumn("width", F.get("part", F.lit(0))), likely_partitions(df))
+    message = F.lit("feature vectors differ in length between partitions")
+    row = F.when(F.col("low") == F.col("high"), F.slice("part", 2, 1 << 30)).otherwise(F.raise_error(message))
+    return _entries(rows.select("fit", row.alias("part")))
 
 
 def _entries(rows: DataFrame) -> DataFrame:
@@ -148,7 +166,7 @@ def cross_moment(df: DataFrame, a: str, b: str) -> DataFrame:
     """Sum of a bT over two array columns as ``(i, j, v)``, i over ``a``, j over ``b``."""
     pair = df.select(doubles(column(a)).alias("a"), doubles(column(b)).alias("b"))
     partials = pair.mapInArrow(kernels.cross_pass, PARTIALS)
-    return _entries(sum_partials(partials, TWO_STEPS))
+    return _entries(sum_partials(partials, likely_partitions(df)))
 
 
 def merge_moments(*tables: DataFrame) -> DataFrame:
