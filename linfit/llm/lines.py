@@ -46,9 +46,8 @@ def _key(length: Column, i: int, edits: int, text: Column) -> Column:
     return F.xxhash64(length.cast("int"), F.lit(i + 10 * edits), text)
 
 
-def index_keys(line: Column, edits: int = EDITS) -> Column:
+def index_keys(line: Column, length: Column, edits: int = EDITS) -> Column:
     """Keys of a line's own segments."""
-    length = F.length(line)
     keys = []
     for i in range(1, edits + 2):
         start, size = segment(length, i, edits)
@@ -56,9 +55,8 @@ def index_keys(line: Column, edits: int = EDITS) -> Column:
     return F.array(*keys)
 
 
-def probe_keys(line: Column, edits: int = EDITS) -> Column:
+def probe_keys(line: Column, length: Column, edits: int = EDITS) -> Column:
     """Keys that an indexed line of the same length or up to ``edits`` less can share with it."""
-    length = F.length(line)
     keys = []
     for less in range(edits + 1):
         other = length - less
@@ -85,16 +83,16 @@ def _common(a: Column, b: Column, room: Column, part) -> Column:
 
 def middles(pairs: DataFrame) -> DataFrame:
     """``x`` and ``y`` without the characters that both begin with, and then both end with."""
-    room = F.least(F.length("x"), F.length("y"))
-    head = _common(F.col("x"), F.col("y"), room, lambda s, n: F.substring(s, F.lit(1), n))
+    pairs = pairs.withColumn("room", F.least(F.length("x"), F.length("y")))
+    head = _common(F.col("x"), F.col("y"), F.col("room"), lambda s, n: F.substring(s, F.lit(1), n))
     pairs = pairs.withColumn("head", head)
-    room = room - F.col("head")
-    pairs = pairs.withColumn("tail", _common(F.col("x"), F.col("y"), room, F.right))
+    pairs = pairs.withColumn("room", F.col("room") - F.col("head"))
+    pairs = pairs.withColumn("tail", _common(F.col("x"), F.col("y"), F.col("room"), F.right))
     cut = [
         F.substring(F.col(c), F.col("head") + 1, F.length(c) - F.col("head") - F.col("tail")).alias(c)
         for c in ("x", "y")
     ]
-    return pairs.select(*(c for c in pairs.columns if c not in ("x", "y", "head", "tail")), *cut)
+    return pairs.select(*(c for c in pairs.columns if c not in ("x", "y", "head", "tail", "room")), *cut)
 
 
 def may_be_near(a: Column, b: Column) -> Column:
@@ -175,34 +173,28 @@ def line_rows(docs: DataFrame) -> DataFrame:
     return rows.withColumn("id", F.xxhash64("line")).withColumn("other", F.xxhash64(F.lit(1), "line"))
 
 
-def _classes_of_length(make, lengths) -> Column:
-    """Keys for each number of edits, of the lines whose length has a part in it."""
-    none = F.array().cast("array<bigint>")
-    length = F.length("line")
-    keys = []
-    for edits, (low, high) in lengths.items():
-        inside = (length >= low) & (length < high if high else F.lit(True))
-        keys.append(F.when(inside, make(F.col("line"), edits)).otherwise(none))
-    return F.concat(*keys)
-
-
 def edit_links(lines: DataFrame) -> DataFrame:
     """Pairs (a, b), a < b, of the hashes of all different lines that are near copies.
 
     ``lines`` has ``line``; copies of a line are brought down to one before anything is probed.
     """
-    distinct = stored(lines.select("line").distinct(), "line-texts").withColumn("id", F.xxhash64("line"))
-    ends = (*LENGTHS[1:], None)
-    probing = {e: (low, high) for e, (low, high) in enumerate(zip(LENGTHS, ends, strict=True), 1)}
+    distinct = lines.select("line").distinct().withColumn("n", F.length("line"))
+    distinct = stored(distinct, "line-texts").withColumn("id", F.xxhash64("line"))
+    # Lengths are a column: within a condition each mention of one would count characters again.
+    line, n, none = F.col("line"), F.col("n"), F.array().cast("array<bigint>")
+    one, two = LENGTHS
+    probed = F.when(n >= two, probe_keys(line, n, 2)).when(n >= one, probe_keys(line, n, 1)).otherwise(none)
     # A line is met by longer ones, which have up to that many more characters.
-    indexed = {e: (low - e, high) for e, (low, high) in probing.items()}
-    index = distinct.select("id", F.explode(_classes_of_length(index_keys, indexed)).alias("key"))
-    probes = distinct.select(F.col("id").alias("from"), F.explode(_classes_of_length(probe_keys, probing)).alias("key"))
+    first = F.when((n >= one - 1) & (n < two), index_keys(line, n, 1)).otherwise(none)
+    second = F.when(n >= two - 2, index_keys(line, n, 2)).otherwise(none)
+    index = distinct.select("id", F.explode(F.concat(first, second)).alias("key"))
+    probes = distinct.select(F.col("id").alias("from"), F.explode(probed).alias("key"))
     met = probes.join(index.hint("shuffle_hash"), "key").where(F.col("from") != F.col("id"))
     pairs = met.select(F.least("from", "id").alias("a"), F.greatest("from", "id").alias("b"))
     pairs = stored(pairs.distinct(), "line-candidates")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = stored(distinct.join(ids.hint("shuffle_hash"), "id", "left_semi"), "line-met")
+    texts = distinct.select("id", "line").join(ids.hint("shuffle_hash"), "id", "left_semi")
+    texts = stored(texts, "line-met")
     left = texts.select(F.col("id").alias("a"), F.col("line").alias("x"))
     right = texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
     both = pairs.join(left, "a").join(right, "b")
