@@ -29,10 +29,11 @@ from linfit.sources.scratch import scratch_path
 
 CLASSES = ("A", "N", "R")
 STEPS, RATE, L2 = 4, 1.0, 0.05
-FLAG_SQL = f"""{LINE_SQL},
+FLAG_SQL = """
 flags AS MATERIALIZED (
-  SELECT lines.*, CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS flag
-  FROM lines JOIN lineitem USING ({", ".join(KEYS)}))"""
+  SELECT (l_quantity - 25.5) / 14.4 AS x0, (l_discount - 0.05) / 0.03 AS x1,
+         CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS flag
+  FROM lineitem)"""
 
 
 def softmax_steps(source: str, steps: int, rate: float, l2: float) -> str:
