@@ -22,6 +22,12 @@ from linfit.operators.fold_moments import fold_moments, ridge_search
 from linfit.operators.instances import pack_blocks, spread
 from linfit.operators.multinomial import cross_validate_multinomial, multinomial_fit
 from linfit.operators.resample import with_fold
+from linfit.operators.sparse import (
+    sparse_instances,
+    sparse_logistic_fit,
+    sparse_predict,
+    sparse_width,
+)
 from linfit.plans.jobs import song_year_job
 from linfit.sources.files import read_lines, read_table
 from linfit.sources.schemas import SONG_FIELDS
@@ -209,3 +215,31 @@ def job_song_year(spark: SparkSession, folder: str) -> DataFrame:
     means = spark.createDataFrame([(f"mean{i}", float(v)) for i, v in enumerate(found.means)], schema="name string, value double")
     errors = F.expr("stack(3, 'own_rmse', own_rmse, 'native_rmse', native_rmse, 'native_train_rmse', native_train_rmse)")
     return means.union(found.scores.select(errors))
+
+
+@query(
+    "logistic_sparse_weighted",
+    f"WITH {LINE_SQL}, {newton_steps('lines', 7, 'quantity')} {named_rows('n7', NEWTON_NAMES, 5)}",
+)
+def logistic_sparse_weighted(spark: SparkSession, folder: str) -> DataFrame:
+    """The own weighted fit on compressed rows: every row counts as often as its quantity says."""
+    rows = sparse_instances(lines(spark, folder), "label", ["x0", "x1"], weight="quantity")
+    model = sparse_logistic_fit(spread(rows), 2, max_iter=200, tol=0.0)
+    values = [(f"theta{i}", float(v)) for i, v in enumerate(model.theta)] + [("intercept", model.intercept)]
+    return named(spark, values, 5)
+
+
+@query("logistic_high_cardinality")
+def logistic_high_cardinality(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders by customer and status, a position for every customer; mean scores by label."""
+    table = read_table(spark, folder, "orders").withColumn("label", F.expr("cast(o_orderpriority < '3' as int)"))
+    top = int(table.agg(F.max("o_custkey")).first()[0] or 0) + 1
+    state = F.array_position(F.array(*map(F.lit, "FOP")), F.col("o_orderstatus")) - 1
+    table = table.withColumns(
+        {"customer": F.col("o_custkey"), "state": state, "price": F.col("o_totalprice") / 100000}
+    )
+    kinds = [("customer", top), ("state", 3)]
+    rows = sparse_instances(table, "label", ["price"], kinds, weight="o_totalprice")
+    model = sparse_logistic_fit(spread(rows), sparse_width(["price"], kinds), l2=1e-4, max_iter=60)
+    scored = sparse_predict(rows, model)
+    return scored.groupBy("label").agg(F.count("*").alias("rows"), F.round(F.avg("prediction_prob"), 6).alias("mean_prob"))

@@ -343,3 +343,98 @@ def roc_pass(batches: Batches) -> Batches:
         yield pa.RecordBatch.from_pydict(
             {"lowest": [lowest], "pos": [pos], "neg": [neg], "area": [area]}
         )
+
+
+SPARSE_SCHEMA = "rows long, unusable long, y binary, w binary, ends binary, at binary, x binary"
+
+
+def _entries(indices: pa.ListArray, values: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each row's entries end, their positions and their values."""
+    ends = np.cumsum(pc.list_value_length(indices).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = indices.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+    return ends, at, values.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+
+
+def sparse_packer(width: int) -> Callable[[Batches], Batches]:
+    """Rows of (label, weight, indices, values) to one compressed block per batch."""
+
+    def block(batch: pa.RecordBatch) -> pa.RecordBatch:
+        label, weight, indices, values = batch.columns
+        y = label.to_numpy(zero_copy_only=False).astype(np.float64)
+        w = weight.to_numpy(zero_copy_only=False).astype(np.float64)
+        sizes, others = (pc.list_value_length(c).fill_null(-1).to_numpy() for c in (indices, values))
+        unusable = int(np.count_nonzero(~((y == 0.0) | (y == 1.0)) | ~(w >= 0) | (sizes < 0) | (sizes != others)))
+        unusable += indices.flatten().null_count + values.flatten().null_count
+        parts = [b""] * 5
+        if not unusable:
+            ends, at, x = _entries(indices, values)
+            unusable = int(np.count_nonzero((at < 0) | (at >= width) | ~np.isfinite(x)))
+            parts = [v.tobytes() for v in (y, w, ends, at, x)]
+        columns = [pa.array([len(y)], pa.int64()), pa.array([unusable], pa.int64())]
+        columns += [pa.array([p], pa.binary()) for p in parts]
+        return pa.RecordBatch.from_arrays(columns, names=["rows", "unusable", "y", "w", "ends", "at", "x"])
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            if batch.num_rows:
+                yield block(batch)
+
+    return run
+
+
+def _sparse_blocks(batches: Batches) -> Iterator[tuple[np.ndarray, ...]]:
+    kinds = {"y": np.float64, "w": np.float64, "ends": np.int64, "at": np.int32, "x": np.float64}
+    for batch in batches:
+        for i in range(batch.num_rows):
+            y, w, ends, at, x = (np.frombuffer(batch.column(c)[i].as_buffer(), k) for c, k in kinds.items())
+            yield y, w, np.repeat(np.arange(len(y)), np.diff(ends, prepend=0)), at, x
+
+
+def sparse_moments_pass(width: int) -> Callable[[Batches], Batches]:
+    """Weighted sums of the columns and of their squares, then of the weights and their squares."""
+
+    def run(batches: Batches) -> Batches:
+        acc = np.zeros(2 * width + 2)
+        for _, w, row, at, x in _sparse_blocks(batches):
+            acc[:width] += np.bincount(at, w[row] * x, width)
+            acc[width : 2 * width] += np.bincount(at, w[row] * x * x, width)
+            acc[2 * width :] += w.sum(), (w * w).sum()
+        yield partial_batch({0: acc})
+
+    return run
+
+
+def sparse_logistic_pass(theta: np.ndarray, bias: np.ndarray) -> Callable[[Batches], Batches]:
+    """Weighted gradient, the intercept's gradient and loss at each of several points."""
+    width = theta.shape[1]
+
+    def run(batches: Batches) -> Batches:
+        sums = np.zeros((len(theta), width + 2))
+        for y, w, row, at, x in _sparse_blocks(batches):
+            for i, (weights, level) in enumerate(zip(theta, bias, strict=True)):
+                z = np.bincount(row, x * weights[at], len(y)) + level
+                shrunk = np.exp(-np.abs(z))
+                residual = (np.where(z < 0, shrunk, 1.0) / (1.0 + shrunk) - y) * w
+                loss = np.maximum(np.where(y == 1.0, -z, z), 0.0) + np.log1p(shrunk)
+                sums[i, :width] += np.bincount(at, residual[row] * x, width)
+                sums[i, width:] += residual.sum(), (w * loss).sum()
+        yield partial_batch(dict(enumerate(sums)))
+
+    return run
+
+
+def sparse_margins(theta: np.ndarray, bias: float) -> Callable[[Batches], Batches]:
+    """Rows of (keys.., indices, values): the margin in place of the entries."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            indices, values = batch.columns[-2:]
+            ends, at, x = _entries(indices, values)
+            if len(at) and (at.min() < 0 or at.max() >= len(theta)):
+                raise ValueError(f"positions must be below {len(theta)}")
+            row = np.repeat(np.arange(batch.num_rows), np.diff(ends, prepend=0))
+            z = np.bincount(row, x * theta[at], batch.num_rows) + bias
+            names = [*batch.schema.names[:-2], "margin"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(z)], names=names)
+
+    return run

@@ -16,6 +16,7 @@ ROWS_ONLY = {
     "job_logistic_cv",
     "job_multiclass_probabilities",
     "job_song_year",
+    "logistic_high_cardinality",
     "logistic_multinomial",
 }
 
