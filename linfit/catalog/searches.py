@@ -18,6 +18,7 @@ from linfit.catalog.base import (
 from linfit.catalog.jobs import SONG_L2
 from linfit.catalog.models import NEWTON_NAMES, named
 from linfit.catalog.sql_fits import named_rows, newton_steps
+from linfit.operators.elastic_net import elastic_net_path
 from linfit.operators.fold_moments import fold_moments, ridge_search
 from linfit.operators.instances import pack_blocks, spread
 from linfit.operators.multinomial import cross_validate_multinomial, multinomial_fit
@@ -243,3 +244,34 @@ def logistic_high_cardinality(spark: SparkSession, folder: str) -> DataFrame:
     model = sparse_logistic_fit(spread(rows), sparse_width(["price"], kinds), l2=1e-4, max_iter=60)
     scored = sparse_predict(rows, model)
     return scored.groupBy("label").agg(F.count("*").alias("rows"), F.round(F.avg("prediction_prob"), 6).alias("mean_prob"))
+
+
+NET_PENALTIES, NET_MIX, NET_ROUNDS = (0.3, 0.01, 0.001), 0.5, 30
+_NET_MOVES = """SELECT l1, l2, t0, greatest(abs(d - b * t0) - l1, 0) * sign(d - b * t0) / (e + l2) AS t1, r + 1 AS r
+  FROM (SELECT l1, l2, greatest(abs(c - b * t1) - l1, 0) * sign(c - b * t1) / (a + l2) AS t0, r FROM net"""
+
+
+@query(
+    "elastic_net_path",
+    f"""WITH RECURSIVE {LINE_SQL},
+        mean AS MATERIALIZED (SELECT avg(x0) AS m0, avg(x1) AS m1, avg(price) AS my FROM lines),
+        moment AS MATERIALIZED (
+          SELECT avg((x0 - m0) * (x0 - m0)) AS a, avg((x0 - m0) * (x1 - m1)) AS b,
+                 avg((x1 - m1) * (x1 - m1)) AS e, avg((x0 - m0) * (price - my)) AS c,
+                 avg((x1 - m1) * (price - my)) AS d FROM lines, mean),
+        net AS (
+          SELECT p * {NET_MIX} AS l1, p * (1 - {NET_MIX}) AS l2, CAST(0 AS DOUBLE) AS t0, CAST(0 AS DOUBLE) AS t1, 0 AS r
+          FROM (VALUES {", ".join(f"(CAST({p} AS DOUBLE))" for p in NET_PENALTIES)}) AS penalties(p)
+          UNION ALL
+          {_NET_MOVES}, moment WHERE r < {NET_ROUNDS}), moment)
+        SELECT l1 / {NET_MIX} AS lambda, {sql_rounded('t0', 9)} AS theta0, {sql_rounded('t1', 9)} AS theta1,
+               {sql_rounded('my - t0 * m0 - t1 * m1', 9)} AS intercept
+        FROM net, mean WHERE r = {NET_ROUNDS}""",
+)
+def elastic_net_path_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Elastic-net fits of the price at several penalties, from one pass."""
+    table = lines(spark, folder).withColumn("label", F.col("price"))
+    found = elastic_net_path(spread(table.select("label", "features")), NET_PENALTIES, NET_MIX)
+    rows = [(p, *map(float, fit.theta), fit.intercept) for p, fit in found.items()]
+    out = spark.createDataFrame(rows, schema="lambda double, theta0 double, theta1 double, intercept double")
+    return out.select("lambda", *(rounded(c, 9).alias(c) for c in ("theta0", "theta1", "intercept")))

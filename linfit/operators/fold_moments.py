@@ -44,6 +44,14 @@ class FoldMoments:
         square = np.outer(first, mean) if second.ndim == 2 else first * mean
         return float(n), self.shift + mean, second - square
 
+    def error(self, fold: int, theta: np.ndarray, intercept: float) -> float:
+        """Root mean squared error of a linear fit on the rows of ``fold``."""
+        n, w = self.rows[fold], np.append(-theta, 1.0)
+        # The residual is w (v - shift) + level.
+        level = float(w @ self.shift) - intercept
+        total = w @ self.second[fold] @ w + 2 * level * (w @ self.first[fold]) + n * level * level
+        return float(np.sqrt(max(total, 0.0) / n))
+
     def scaling(self, fold: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Feature means and sample deviations outside ``fold``."""
         n, mean, second = self.outside(fold)
