@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from linfit.catalog import (  # noqa: F401  (importing registers the queries)
     aggregates,
+    ensembles,
     fitted,
     jobs,
     models,

@@ -171,18 +171,19 @@ means AS MATERIALIZED (
   GROUP BY degree, l2)"""
 
 
-def search(spark: SparkSession, folder: str) -> CVResult:
+def search(spark: SparkSession, folder: str, score_type: str = "accuracy") -> CVResult:
     table = lines(spark, folder)
-    return search_on(with_fold(table, KEYS, FOLDS, hash_fn="md5"), table.count())
+    return search_on(with_fold(table, KEYS, FOLDS, hash_fn="md5"), table.count(), score_type)
 
 
-def search_on(table: DataFrame, rows: int) -> CVResult:
+def search_on(table: DataFrame, rows: int, score_type: str = "accuracy") -> CVResult:
     return cross_validate_logistic(
         spread(table.select("label", "features", "fold")),
         k=FOLDS,
         grid=param_grid(DEGREES, LAMBDAS),
         max_iter=ITERATIONS,
         learning_rate=RATE / rows,
+        score_type=score_type,
         threshold=THRESHOLD,
     )
 

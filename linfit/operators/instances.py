@@ -70,9 +70,13 @@ class Blocks:
     rows: int
     partitions: int
 
-    def read(self) -> DataFrame:
-        """The blocks for a pass. Arrow batches end by bytes, so no setting has to change."""
-        return self.df.select("y", "fold", "x")
+    def read(self, part: int | None = None) -> DataFrame:
+        """The blocks for a pass. Arrow batches end by bytes, so no setting has to change.
+
+        With ``part`` only the blocks of that fold, for blocks packed apart.
+        """
+        df = self.df if part is None else self.df.where(F.col("part") == part)
+        return df.select("y", "fold", "x", *(["draws"] if "draws" in self.df.columns else []))
 
     def __enter__(self) -> "Blocks":
         return self
@@ -87,9 +91,15 @@ def pack_blocks(
     features: str = "features",
     fold: str | None = None,
     classes: int | None = 2,
+    draws: Column | None = None,
+    apart: bool = False,
 ) -> Blocks:
     """Cache instances as small dense blocks; labels are below ``classes``, or any if that is None.
 
+    ``draws`` are counts of the row by replicate, an array of one length, kept beside the block.
+    With ``apart`` every block is of one fold, and those of a fold lie together in a partition, so
+    that a pass over one fold skips the cached batches of the others.
+
     An iterative fit reads its table once per step. Handing Python whole matrices instead of
     rows leaves only linear algebra in that loop. Blocks are cut within partitions, so nothing
     is shuffled, and a lost block is rebuilt from the input's own lineage. The counting job that
@@ -99,8 +109,11 @@ def pack_blocks(
         column(label).cast("double").alias("label"),
         (column(fold).cast("int") if fold else F.lit(UNFOLDED)).alias("fold"),
         doubles(column(features)).alias("features"),
+        *([draws.alias("draws")] if draws is not None else []),
     )
-    packed = rows.mapInArrow(kernels.packer(classes), kernels.BLOCK_SCHEMA)
+    rows = rows.sortWithinPartitions("fold") if apart else rows
+    schema = kernels.BLOCK_SCHEMA + (", draws binary" if draws is not None else "")
+    packed = rows.mapInArrow(kernels.packer(classes, apart), schema)
     packed = packed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         facts = packed.withColumn("at", F.spark_partition_id()).agg(

@@ -23,7 +23,8 @@ Batches = Iterator[pa.RecordBatch]
 BLOCK_BYTES = 1 << 17
 BATCH_BYTES = 1 << 20
 BLOCK_SCHEMA = (
-    "rows long, unusable long, min_width int, max_width int, y binary, fold binary, x binary"
+    "rows long, unusable long, min_width int, max_width int, y binary, fold binary, x binary,"
+    " part int"
 )
 
 
@@ -49,10 +50,12 @@ def matrix(vectors: pa.ListArray) -> np.ndarray:
     return flat.reshape(len(sizes), -1)
 
 
-def packer(classes: int | None) -> Callable[[Batches], Batches]:
-    """Rows of (label, fold, features) to one record per block, features by columns.
+def packer(classes: int | None, apart: bool = False) -> Callable[[Batches], Batches]:
+    """Rows of (label, fold, features[, draws]) to one record per block, features by columns.
 
-    Labels are the whole numbers below ``classes``, or any numbers where that is None.
+    Labels are the whole numbers below ``classes``, or any numbers where that is None. With
+    ``apart`` no block holds rows of two folds; rows should come sorted by fold. Draws are counts
+    by replicate, one array a row.
     """
 
     def pack(batches: Batches) -> Batches:
@@ -60,12 +63,20 @@ def packer(classes: int | None) -> Callable[[Batches], Batches]:
             if batch.num_rows:
                 values = max(1, len(batch.column(2).flatten()))
                 rows = max(64, BLOCK_BYTES * batch.num_rows // (8 * values))
-                for start in range(0, batch.num_rows, rows):
-                    yield _pack_block(batch.slice(start, rows), classes)
+                for run in _runs(batch) if apart else [batch]:
+                    for start in range(0, run.num_rows, rows):
+                        yield _pack_block(run.slice(start, rows), classes)
 
     return pack
 
 
+def _runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    fold = batch.column(1).to_numpy(zero_copy_only=False)
+    cuts = [0, *(np.flatnonzero(fold[1:] != fold[:-1]) + 1).tolist(), batch.num_rows]
+    for start, end in zip(cuts, cuts[1:]):
+        yield batch.slice(start, end - start)
+
+
 def _usable_labels(y: np.ndarray, classes: int | None) -> np.ndarray:
     if classes is None:
         return np.isfinite(y)
@@ -73,7 +84,7 @@ def _usable_labels(y: np.ndarray, classes: int | None) -> np.ndarray:
 
 
 def _pack_block(batch: pa.RecordBatch, classes: int | None) -> pa.RecordBatch:
-    label, fold, vectors = batch.columns
+    label, fold, vectors = batch.columns[:3]
     y = label.to_numpy(zero_copy_only=False).astype(np.float64)
     folds = fold.to_numpy(zero_copy_only=False).astype(np.int32)
     sizes = pc.list_value_length(vectors).fill_null(-1).to_numpy()
@@ -87,18 +98,21 @@ def _pack_block(batch: pa.RecordBatch, classes: int | None) -> pa.RecordBatch:
     x = b""
     if unusable == 0 and narrow == wide:
         x = np.ascontiguousarray(matrix(vectors).T).tobytes()
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([len(y)], pa.int64()),
-            pa.array([unusable], pa.int64()),
-            pa.array([narrow], pa.int32()),
-            pa.array([wide], pa.int32()),
-            pa.array([y.tobytes()], pa.binary()),
-            pa.array([folds.tobytes()], pa.binary()),
-            pa.array([x], pa.binary()),
-        ],
-        names=["rows", "unusable", "min_width", "max_width", "y", "fold", "x"],
-    )
+    columns = [
+        pa.array([len(y)], pa.int64()),
+        pa.array([unusable], pa.int64()),
+        pa.array([narrow], pa.int32()),
+        pa.array([wide], pa.int32()),
+        pa.array([y.tobytes()], pa.binary()),
+        pa.array([folds.tobytes()], pa.binary()),
+        pa.array([x], pa.binary()),
+        pa.array([int(folds[0])], pa.int32()),
+    ]
+    names = ["rows", "unusable", "min_width", "max_width", "y", "fold", "x", "part"]
+    if batch.num_columns > 3:
+        drawn = matrix(batch.column(3)).T.astype(np.uint8)
+        columns, names = [*columns, pa.array([drawn.tobytes()], pa.binary())], [*names, "draws"]
+    return pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def _blocks(batches: Batches, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -111,6 +125,17 @@ def _blocks(batches: Batches, width: int) -> Iterator[tuple[np.ndarray, np.ndarr
             )
 
 
+def _drawn_blocks(batches: Batches, width: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Blocks with their draws, replicates x rows, or None where they carry none."""
+    for batch in batches:
+        rows = _blocks(iter([batch]), width)
+        if "draws" not in batch.schema.names:
+            yield from ((*block, None) for block in rows)
+            continue
+        for (y, fold, x), drawn in zip(rows, batch.column("draws"), strict=True):
+            yield y, fold, x, np.frombuffer(drawn.as_buffer(), np.uint8).reshape(-1, len(y))
+
+
 def _expand(x: np.ndarray, products: list[tuple[int, int]]) -> np.ndarray:
     """Append one row per product (position of an earlier row, position of an input)."""
     if not products:
@@ -134,17 +159,20 @@ def logistic_pass(
     A group holds the fits that share a number of terms: ``(terms, fit ids, held-out folds,
     coefficients by fit, intercepts)``. A fit sees every row outside its held-out fold. Per fit
     the result is the gradient, the intercept's gradient, the total loss and the row count, then
-    on request the packed upper triangle of the Hessian, the intercept last.
+    on request the packed upper triangle of the Hessian, the intercept last. Where blocks carry
+    draws, fit i counts a row as often as replicate i drew it.
     """
 
     def run(batches: Batches) -> Batches:
         sums: dict[int, np.ndarray] = {}
-        for y, fold, x in _blocks(batches, width):
+        for y, fold, x, drawn in _drawn_blocks(batches, width):
             terms = _expand(x, products)
             for m, ids, held_out, theta, bias in groups:
                 rows = terms[:m]
                 z = theta @ rows + bias[:, None]
                 seen = held_out[:, None] != fold[None, :]
+                if drawn is not None:
+                    seen = seen * drawn[ids].astype(np.float64)
                 shrunk = np.exp(-np.abs(z))
                 sigma = np.where(z < 0, shrunk, 1.0) / (1.0 + shrunk)
                 loss = np.maximum(np.where(y == 1.0, -z, z), 0.0) + np.log1p(shrunk)
@@ -206,6 +234,76 @@ def confusion_pass(
     return run
 
 
+def held_out_scores(
+    width: int,
+    products: list[tuple[int, int]],
+    groups: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]],
+) -> Callable[[Batches], Batches]:
+    """(fit, score, pos, neg): margins of many fits on their held-out folds, counted by block."""
+
+    def run(batches: Batches) -> Batches:
+        for y, fold, x in _blocks(batches, width):
+            terms = _expand(x, products)
+            for m, ids, held_out, theta, bias in groups:
+                for i, held, weights, level in zip(ids.tolist(), held_out, theta, bias):
+                    own = fold == held
+                    if own.any():
+                        # Term by term: a matrix product may round equal rows apart, and they
+                        # have to tie.
+                        z = np.full(int(own.sum()), level)
+                        for w, row in zip(weights, terms[:m]):
+                            z += w * row[own]
+                        score, at = np.unique(z, return_inverse=True)
+                        pos = np.bincount(at, y[own], len(score))
+                        every = np.bincount(at, minlength=len(score))
+                        columns = [np.full(len(score), i, np.int32), score, pos, every - pos]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(c) for c in columns], names=["fit", "score", "pos", "neg"]
+                        )
+
+    return run
+
+
+def out_of_bag_pass(
+    width: int, theta: np.ndarray, bias: np.ndarray, floor: float
+) -> Callable[[Batches], Batches]:
+    """Rows that some replicate left out, hits and loss of their mean probability over these."""
+
+    def run(batches: Batches) -> Batches:
+        sums = np.zeros(3)
+        for y, _, x, drawn in _drawn_blocks(batches, width):
+            z = theta @ x + bias[:, None]
+            shrunk = np.exp(-np.abs(z))
+            free = drawn == 0
+            times = free.sum(axis=0)
+            p = (np.where(z < 0, shrunk, 1.0) / (1.0 + shrunk) * free).sum(axis=0)[times > 0]
+            p, truth = p / times[times > 0], y[times > 0] == 1.0
+            own = np.maximum(np.where(truth, p, 1.0 - p), floor)
+            sums += len(p), np.count_nonzero((p >= 0.5) == truth), -np.log(own).sum()
+        yield partial_batch({0: sums})
+
+    return run
+
+
+def bagged_scores(theta: np.ndarray, bias: np.ndarray) -> Callable[[Batches], Batches]:
+    """Rows of (keys.., features): the features replaced by the replicates' mean probability."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = matrix(batch.column(batch.num_columns - 1))
+            if x.shape[1] != theta.shape[1]:
+                raise ValueError(f"expected feature vectors of {theta.shape[1]}, not {x.shape[1]}")
+            z = x @ theta.T + bias
+            shrunk = np.exp(-np.abs(z))
+            p = (np.where(z < 0, shrunk, 1.0) / (1.0 + shrunk)).mean(axis=1)
+            names = [*batch.schema.names[:-1], "prediction_prob"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(p)], names=names)
+
+    return run
+
+
 def softmax_pass(
     width: int,
     ids: np.ndarray,
@@ -345,6 +443,30 @@ def roc_pass(batches: Batches) -> Batches:
         )
 
 
+def roc_many_pass(batches: Batches) -> Batches:
+    """One row per fit and partition of (fit, score, pos, neg), sorted by fit and score.
+
+    As ``roc_pass``, with one row per fit and score.
+    """
+    found: dict[int, list[float]] = {}
+    for batch in batches:
+        fit, score, pos, neg = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        cuts = [0, *(np.flatnonzero(fit[1:] != fit[:-1]) + 1).tolist(), len(fit)]
+        for start, end in zip(cuts, cuts[1:]):
+            if start < end:
+                p, n = pos[start:end], neg[start:end]
+                own = found.setdefault(int(fit[start]), [float(score[start]), 0.0, 0.0, 0.0])
+                below = own[2] + np.cumsum(n) - n
+                own[3] += float(np.sum(p * (below + n / 2.0)))
+                own[1], own[2] = own[1] + float(p.sum()), own[2] + float(n.sum())
+    if found:
+        lowest, pos, neg, area = (list(c) for c in zip(*found.values()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(found), pa.int32()), *(pa.array(c, pa.float64()) for c in (lowest, pos, neg, area))],
+            names=["fit", "lowest", "pos", "neg", "area"],
+        )
+
+
 SPARSE_SCHEMA = "rows long, unusable long, y binary, w binary, ends binary, at binary, x binary"
 
 

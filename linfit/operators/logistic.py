@@ -25,6 +25,7 @@ from linfit.operators import kernels
 from linfit.operators.errors import DivergedError
 from linfit.operators.instances import Blocks, pack_blocks
 from linfit.operators.linear import solve_positive_definite
+from linfit.operators.metrics import ranked_areas
 from linfit.operators.moments import PARTIALS, gram, part_sum, sum_partials
 
 NO_FOLD = -2  # a held-out fold no row belongs to
@@ -246,6 +247,15 @@ def confusion_many(blocks: Blocks, fits: Sequence[Fit], threshold: float = 0.5)
     return np.rint([counts[i] for i in chosen]).astype(np.int64)
 
 
+def area_many(blocks: Blocks, fits: Sequence[Fit]) -> list[float | None]:
+    """ROC area of every fit on its held-out fold, all in one job; None where a class is missing."""
+    chosen = dict(enumerate(fits))
+    kernel = kernels.held_out_scores(blocks.width, product_plan(_longest(fits)), _groups(chosen))
+    counted = blocks.read().mapInArrow(kernel, "fit int, score double, pos double, neg double")
+    found = ranked_areas(counted)
+    return [found.get(i, (None, 0.0))[0] for i in chosen]
+
+
 def check_threshold(threshold: float) -> None:
     if not 0.0 < threshold < 1.0:
         raise ValueError("threshold must lie strictly between 0 and 1")

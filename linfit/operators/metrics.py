@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from linfit.functions.features import cast_label, column
 from linfit.functions.scalar import clip_probability
-from linfit.functions.vectors import known
+from linfit.functions.vectors import known, whole
 from linfit.operators import kernels
 
 SCORE_TYPES = ("accuracy", "precision", "recall")
@@ -135,6 +135,52 @@ def area_under_roc(predictions: DataFrame, label: str = "label", score: str = "s
     return pairs / whole
 
 
+def areas_under_roc(
+    predictions: DataFrame, scores: str = "scores", label: str = "label"
+) -> list[float]:
+    """``area_under_roc`` of every position of an array column of scores, in one job.
+
+    Rows are counted by (position, score) before anything is sorted. All arrays must be of one
+    length; a null label, array or score raises.
+    """
+    positive = known((column(label) == 1.0).cast("double"), "label")
+    each = predictions.select(
+        positive.alias("pos"),
+        F.posexplode(whole(column(scores).cast("array<double>"))).alias("fit", "score"),
+    )
+    value = F.when(F.col("score").isNotNull() & ~F.isnan("score"), F.col("score")).otherwise(
+        F.raise_error(F.lit("null score or not a number"))
+    )
+    rows = each.select("fit", value.alias("score"), "pos", (1.0 - F.col("pos")).alias("neg"))
+    found = ranked_areas(rows)
+    if len({whole for _, whole in found.values()}) > 1:
+        raise ValueError("arrays of scores differ in length")
+    if any(area is None for area, _ in found.values()) or not found:
+        raise ValueError("the area needs rows of both classes")
+    return [found[i][0] for i in range(len(found))]
+
+
+def ranked_areas(rows: DataFrame) -> dict[int, tuple[float | None, float]]:
+    """By fit the ROC area and the number of rows, of (fit int, score, pos, neg) counts.
+
+    (fit, score) counts are dealt out by range, so one fit's scores may lie in several partitions
+    and a partition may end one fit and begin another; each reports one row of pair counts for
+    each fit it holds. A fit whose rows are all of one class has no area.
+    """
+    counts = rows.groupBy("fit", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    ranged = counts.repartitionByRange("fit", "score").sortWithinPartitions("fit", "score")
+    parts = ranged.mapInArrow(
+        kernels.roc_many_pass, "fit int, lowest double, pos double, neg double, area double"
+    ).collect()
+    sums: dict[int, list[float]] = {}
+    for part in sorted(parts, key=lambda r: (r.fit, r.lowest)):
+        own = sums.setdefault(part.fit, [0.0, 0.0, 0.0])
+        own[0] += part.area + part.pos * own[2]
+        own[1] += part.pos
+        own[2] += part.neg
+    return {i: (pairs / (p * n) if p * n else None, p + n) for i, (pairs, p, n) in sums.items()}
+
+
 class AreaUnderRoc(Evaluator):
     """``area_under_roc`` of the raw prediction, for the library's search."""
 

@@ -21,6 +21,7 @@ from linfit.operators.instances import UNFOLDED, pack_blocks
 from linfit.operators.logistic import (
     Fit,
     LogisticModel,
+    area_many,
     check_fit_parameters,
     check_threshold,
     confusion_many,
@@ -30,6 +31,7 @@ from linfit.operators.logistic import (
 from linfit.operators.metrics import SCORE_TYPES, score, score_columns
 from linfit.operators.resample import check_folds
 
+AREA = "area"
 SCORE_SCHEMA = "degree int, lambda double, fold int, score double"
 
 
@@ -103,22 +105,25 @@ def cross_validate_logistic(
 
     ``df`` carries fold numbers 0 to k-1. Only the unexpanded features are cached. Each
     iteration is one job over them in which all folds, degrees and lambdas advance together:
-    tasks build the highest degree's terms once, and lower degrees use a prefix of these.
+    tasks build the highest degree's terms once, and lower degrees use a prefix of these. The
+    score ``area`` ranks by the ROC area, for all of them in one job more.
     """
     check_folds(k)
     check_threshold(threshold)
     grid = check_grid(grid)
     check_fit_parameters(method, max_iter, [v for _, v in grid], tol, True)
-    if score_type not in SCORE_TYPES:
-        raise ValueError(f"unknown score {score_type!r}: use one of {', '.join(SCORE_TYPES)}")
+    if score_type not in (*SCORE_TYPES, AREA):
+        raise ValueError(f"unknown score {score_type!r}: use one of {', '.join((*SCORE_TYPES, AREA))}")
     with pack_blocks(df, label, features, fold) as blocks:
         plan = [(d, v, f) for d, v in grid for f in range(k)]
         fits = [Fit(graded_terms(blocks.width, d), v, f) for d, v, f in plan]
         fit_many(blocks, fits, method, max_iter, learning_rate, tol)
-        counts = confusion_many(blocks, fits, threshold)
-        fold_scores = [
-            (d, v, f, score(*map(int, row), score_type)) for (d, v, f), row in zip(plan, counts)
-        ]
+        if score_type == AREA:
+            scores = area_many(blocks, fits)
+        else:
+            counts = confusion_many(blocks, fits, threshold)
+            scores = [score(*map(int, row), score_type) for row in counts]
+        fold_scores = [(*point, s) for point, s in zip(plan, scores, strict=True)]
         result = CVResult(df.sparkSession, fold_scores, k, blocks.width)
         winner = best_score(result.scores()).first()
         result.best = (winner["degree"], winner["lambda"])
