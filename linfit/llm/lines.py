@@ -22,6 +22,9 @@ EDITS = 2
 #: Edits that are allowed grow with the length of the longer line: none below the first of these
 #: lengths, one from there on, two from the next.
 LENGTHS = (6, 12)
+#: Characters that are counted for the test by which a candidate is met or passed over. Lines
+#: without any of them are all met; the links are the same whichever are chosen.
+COUNTED = " eainrts"
 _LAST = (1 << 63) - 1
 
 
@@ -71,6 +74,22 @@ def probe_keys(line: Column, length: Column, edits: int = EDITS) -> Column:
     return F.array(*keys)
 
 
+def tally(line: Column) -> Column:
+    """How often each counted character occurs, modulo 8, in four bits each.
+
+    The code of a count differs from the next one's in one bit, and of counts d apart in d bits (4
+    at most). An edit moves two counts by one at most, so lines within e edits differ in at most
+    2 e bits.
+    """
+    ring = F.array(*(F.lit(v) for v in (0, 1, 3, 7, 15, 14, 12, 8)))
+    out = F.lit(0).cast("long")
+    for i, c in enumerate(COUNTED):
+        times = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))
+        code = F.get(ring, times.bitwiseAND(F.lit(7))).cast("long")
+        out = out.bitwiseOR(F.shiftleft(code, 4 * i))
+    return out
+
+
 def _common(a: Column, b: Column, room: Column, part) -> Column:
     """How many characters, up to ``room``, two lines have in common at one end, by halving."""
     def longer(n: Column, step: Column) -> Column:
@@ -178,7 +197,8 @@ def edit_links(lines: DataFrame) -> DataFrame:
 
     ``lines`` has ``line``; copies of a line are brought down to one before anything is probed.
     """
-    distinct = lines.select("line").distinct().withColumn("n", F.length("line"))
+    distinct = lines.select("line").distinct()
+    distinct = distinct.withColumn("n", F.length("line")).withColumn("tally", tally(F.col("line")))
     distinct = stored(distinct, "line-texts").withColumn("id", F.xxhash64("line"))
     # Lengths are a column: within a condition each mention of one would count characters again.
     line, n, none = F.col("line"), F.col("n"), F.array().cast("array<bigint>")
@@ -187,9 +207,11 @@ def edit_links(lines: DataFrame) -> DataFrame:
     # A line is met by longer ones, which have up to that many more characters.
     first = F.when((n >= one - 1) & (n < two), index_keys(line, n, 1)).otherwise(none)
     second = F.when(n >= two - 2, index_keys(line, n, 2)).otherwise(none)
-    index = distinct.select("id", F.explode(F.concat(first, second)).alias("key"))
-    probes = distinct.select(F.col("id").alias("from"), F.explode(probed).alias("key"))
-    met = probes.join(index.hint("shuffle_hash"), "key").where(F.col("from") != F.col("id"))
+    index = distinct.select("id", F.col("tally").alias("own"), F.explode(F.concat(first, second)).alias("key"))
+    probes = distinct.select(F.col("id").alias("from"), "tally", F.explode(probed).alias("key"))
+    # Tested within the join: of the many lines that may share a segment, few leave it as pairs.
+    apart = F.bit_count(F.col("tally").bitwiseXOR(F.col("own")))
+    met = probes.join(index.hint("shuffle_hash"), "key").where((F.col("from") != F.col("id")) & (apart <= 2 * EDITS))
     pairs = met.select(F.least("from", "id").alias("a"), F.greatest("from", "id").alias("b"))
     pairs = stored(pairs.distinct(), "line-candidates")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
