@@ -147,22 +147,3 @@ def test_empty_table_and_native_plan(spark):
     assert lines.dedup_lines(empty).collect() == []
     plan = lines.dedup_report(empty)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
-
-
-def test_tally_never_parts_near_lines(spark):
-    rng = random.Random(9)
-    pairs = []
-    for k in range(600):
-        base = "".join(rng.choice("eainrts xyzé") for _ in range(rng.randrange(1, 70)))
-        pairs.append((k % 4, base, edited(base, k % 4, rng)))
-    pairs += [(0, "", ""), (1, "", "e"), (2, "e" * 8, "e" * 6), (0, "жук", "жук")]
-    table = spark.createDataFrame(pairs, "n int, a string, b string")
-    apart = F.bit_count(lines.tally(F.col("a")).bitwiseXOR(lines.tally(F.col("b"))))
-    found = table.select("n", "a", "b", apart.alias("apart")).collect()
-    assert all(r.apart <= 2 * r.n for r in found)
-    counts = [sum(min((r.a.count(c) - r.b.count(c)) % 8, (r.b.count(c) - r.a.count(c)) % 8) for c in lines.COUNTED) for r in found]
-    assert [r.apart for r in found] == counts
-    far = table.where("n = 0").crossJoin(table.where("n = 0").select(F.col("a").alias("c")))
-    passed = far.where((F.length("a") > 40) & (F.length("c") > 40) & (F.col("a") != F.col("c")))
-    passed = passed.select((F.bit_count(lines.tally(F.col("a")).bitwiseXOR(lines.tally(F.col("c")))) <= 4).cast("int").alias("p"))
-    assert passed.agg(F.avg("p")).first()[0] < 0.1
