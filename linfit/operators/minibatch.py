@@ -68,7 +68,8 @@ def minibatch_logistic_fit(
     if learning_rate is not None and not learning_rate > 0:
         raise ValueError("learning_rate must be positive")
     part = (key_bucket(keys, hash_fn) % batches).cast("int")
-    with pack_blocks(df.withColumn("_batch", part), label, features, "_batch", apart=True) as blocks:
+    name = "_".join(["batch", *df.columns])  # longer than any column's name
+    with pack_blocks(df.withColumn(name, part), label, features, name, apart=True) as blocks:
         d = blocks.width
         if batches * (d + 1) > MEMORY:
             raise ValueError(f"{batches} gradients of {d} features exceed {MEMORY} numbers")
