@@ -141,7 +141,7 @@ def param_grid_query(spark: SparkSession, folder: str) -> DataFrame:
     """The training loss at every grid point, all points fitted in the same passes."""
     table = lines(spark, folder)
     grid = param_grid(DEGREES, LAMBDAS)
-    with pack_blocks(spread(table.select("label", "features"))) as blocks:
+    with pack_blocks(spread(table.select("label", "features")), merge=True) as blocks:
         fits = [Fit(graded_terms(blocks.width, d), v) for d, v in grid]
         fit_many(blocks, fits, max_iter=ITERATIONS, learning_rate=RATE / blocks.rows)
     rows = [(d, v, fit.losses[-1]) for (d, v), fit in zip(grid, fits)]

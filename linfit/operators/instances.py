@@ -76,7 +76,7 @@ class Blocks:
         With ``part`` only the blocks of that fold, for blocks packed apart.
         """
         df = self.df if part is None else self.df.where(F.col("part") == part)
-        return df.select("y", "fold", "x", *(["draws"] if "draws" in self.df.columns else []))
+        return df.select("y", "fold", "x", *(c for c in ("times", "draws") if c in self.df.columns))
 
     def __enter__(self) -> "Blocks":
         return self
@@ -93,12 +93,16 @@ def pack_blocks(
     classes: int | None = 2,
     draws: Column | None = None,
     apart: bool = False,
+    merge: bool = False,
 ) -> Blocks:
     """Cache instances as small dense blocks; labels are below ``classes``, or any if that is None.
 
     ``draws`` are counts of the row by replicate, an array of one length, kept beside the block.
     With ``apart`` every block is of one fold, and those of a fold lie together in a partition, so
-    that a pass over one fold skips the cached batches of the others.
+    that a pass over one fold skips the cached batches of the others. With ``merge`` equal rows of
+    a partition (label, fold and features) are one row with a count, and their draws are added up:
+    a table of few different rows then costs a pass as much as these, whatever its size. Tasks stop
+    merging where it pays little. Only the logistic passes know counts.
 
     An iterative fit reads its table once per step. Handing Python whole matrices instead of
     rows leaves only linear algebra in that loop. Blocks are cut within partitions, so nothing
@@ -112,8 +116,12 @@ def pack_blocks(
         *([draws.alias("draws")] if draws is not None else []),
     )
     rows = rows.sortWithinPartitions("fold") if apart else rows
-    schema = kernels.BLOCK_SCHEMA + (", draws binary" if draws is not None else "")
-    packed = rows.mapInArrow(kernels.packer(classes, apart), schema)
+    if apart and merge:
+        raise ValueError("blocks packed apart are not merged")
+    schema = kernels.BLOCK_SCHEMA + (", times binary" if merge else "")
+    schema += ", draws binary" if draws is not None else ""
+    kernel = kernels.merging_packer(classes) if merge else kernels.packer(classes, apart)
+    packed = rows.mapInArrow(kernel, schema)
     packed = packed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         facts = packed.withColumn("at", F.spark_partition_id()).agg(

@@ -22,6 +22,11 @@ Batches = Iterator[pa.RecordBatch]
 # Python works on the one before, and both keep to their caches.
 BLOCK_BYTES = 1 << 17
 BATCH_BYTES = 1 << 20
+# Rows gathered before equal ones are merged, the bytes of merged rows that a task holds, and the
+# rows after which merging that halves nothing is given up.
+MERGE_ROWS = 1 << 15
+MERGE_BYTES = 1 << 24
+MERGE_TRIAL = 1 << 17
 BLOCK_SCHEMA = (
     "rows long, unusable long, min_width int, max_width int, y binary, fold binary, x binary,"
     " part int"
@@ -83,7 +88,9 @@ def _usable_labels(y: np.ndarray, classes: int | None) -> np.ndarray:
     return (y >= 0.0) & (y < classes) & (y == np.floor(y))
 
 
-def _pack_block(batch: pa.RecordBatch, classes: int | None) -> pa.RecordBatch:
+def _pack_block(
+    batch: pa.RecordBatch, classes: int | None, extra: dict[str, bytes] | None = None
+) -> pa.RecordBatch:
     label, fold, vectors = batch.columns[:3]
     y = label.to_numpy(zero_copy_only=False).astype(np.float64)
     folds = fold.to_numpy(zero_copy_only=False).astype(np.int32)
@@ -98,8 +105,24 @@ def _pack_block(batch: pa.RecordBatch, classes: int | None) -> pa.RecordBatch:
     x = b""
     if unusable == 0 and narrow == wide:
         x = np.ascontiguousarray(matrix(vectors).T).tobytes()
+    extra = extra or {}
+    if batch.num_columns > 3:
+        extra["draws"] = matrix(batch.column(3)).T.astype(np.uint8).tobytes()
+    return _record(len(y), unusable, narrow, wide, y, folds, x, extra)
+
+
+def _record(
+    rows: int,
+    unusable: int,
+    narrow: int,
+    wide: int,
+    y: np.ndarray,
+    folds: np.ndarray,
+    x: bytes,
+    extra: dict[str, bytes],
+) -> pa.RecordBatch:
     columns = [
-        pa.array([len(y)], pa.int64()),
+        pa.array([rows], pa.int64()),
         pa.array([unusable], pa.int64()),
         pa.array([narrow], pa.int32()),
         pa.array([wide], pa.int32()),
@@ -107,14 +130,84 @@ def _pack_block(batch: pa.RecordBatch, classes: int | None) -> pa.RecordBatch:
         pa.array([folds.tobytes()], pa.binary()),
         pa.array([x], pa.binary()),
         pa.array([int(folds[0])], pa.int32()),
+        *(pa.array([v], pa.binary()) for v in extra.values()),
     ]
-    names = ["rows", "unusable", "min_width", "max_width", "y", "fold", "x", "part"]
-    if batch.num_columns > 3:
-        drawn = matrix(batch.column(3)).T.astype(np.uint8)
-        columns, names = [*columns, pa.array([drawn.tobytes()], pa.binary())], [*names, "draws"]
+    names = ["rows", "unusable", "min_width", "max_width", "y", "fold", "x", "part", *extra]
     return pa.RecordBatch.from_arrays(columns, names=names)
 
 
+def merging_packer(classes: int | None) -> Callable[[Batches], Batches]:
+    """As ``packer``, with one row for equal ones of a task and ``times``, how often it stands there.
+
+    Draws of equal rows are added up, as doubles. Where merging does not halve the rows, later
+    ones are passed on as they are.
+    """
+
+    def columns(batch: pa.RecordBatch) -> pa.Table | None:
+        label, fold, vectors = batch.columns[:3]
+        y = label.to_numpy(zero_copy_only=False).astype(np.float64)
+        sizes = pc.list_value_length(vectors).fill_null(-1).to_numpy()
+        if not _usable_labels(y, classes).all() or sizes.min() != sizes.max() or sizes[0] < 1:
+            return None
+        if vectors.flatten().null_count:
+            return None
+        folds = fold.to_numpy(zero_copy_only=False).astype(np.int32)
+        found = {"y": pa.array(y), "fold": pa.array(folds)}
+        found |= {f"x{i}": pa.array(v) for i, v in enumerate(np.ascontiguousarray(matrix(vectors).T))}
+        found["times"] = pa.array(np.ones(len(y)))
+        if batch.num_columns > 3:
+            drawn = np.ascontiguousarray(matrix(batch.column(3)).T.astype(np.float64))
+            found |= {f"d{i}": pa.array(v) for i, v in enumerate(drawn)}
+        return pa.table(found)
+
+    def merged(tables: list[pa.Table]) -> pa.Table:
+        whole = pa.concat_tables(tables)
+        keys = [n for n in whole.column_names if n == "fold" or n[0] in "xy"]
+        sums = [n for n in whole.column_names if n not in keys]
+        added = whole.group_by(keys, use_threads=False).aggregate([(n, "sum") for n in sums])
+        return added.select([*keys, *(f"{n}_sum" for n in sums)]).rename_columns([*keys, *sums])
+
+    def blocks(table: pa.Table) -> Batches:
+        at = {n: c.to_numpy() for n, c in zip(table.column_names, table.columns)}
+        x, drawn = (np.array([v for n, v in at.items() if n[0] == k]) for k in "xd")
+        rows = max(64, BLOCK_BYTES // (8 * len(x)))
+        for start in range(0, table.num_rows, rows):
+            y, fold, times = (at[n][start : start + rows] for n in ("y", "fold", "times"))
+            extra = {"times": times.tobytes()}
+            if len(drawn):
+                extra["draws"] = drawn[:, start : start + rows].tobytes()
+            part = np.ascontiguousarray(x[:, start : start + rows]).tobytes()
+            yield _record(int(times.sum()), 0, len(x), len(x), y, fold, part, extra)
+
+    def pack(batches: Batches) -> Batches:
+        held: list[pa.Table] = []
+        seen, pays = 0, True
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            found = columns(batch)
+            if found is None or held and found.column_names != held[0].column_names:
+                # What is unusable goes on as it is, to be counted and refused.
+                yield _pack_block(batch, classes, {"times": b""})
+                continue
+            held.append(found)
+            seen += found.num_rows
+            rows = sum(t.num_rows for t in held)
+            if not pays:
+                yield from blocks(held.pop())
+            elif rows - held[0].num_rows >= max(MERGE_ROWS, held[0].num_rows):
+                held = [merged(held)]
+                if seen >= MERGE_TRIAL and 2 * held[0].num_rows > seen:
+                    pays = False
+                if not pays or held[0].nbytes > MERGE_BYTES:
+                    yield from blocks(held.pop())
+                    seen = 0
+        if held:
+            yield from blocks(merged(held))
+
+    return pack
+
+
 def _blocks(batches: Batches, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     for batch in batches:
         for y, fold, x in zip(*(batch.column(name) for name in ("y", "fold", "x"))):
@@ -125,15 +218,28 @@ def _blocks(batches: Batches, width: int) -> Iterator[tuple[np.ndarray, np.ndarr
             )
 
 
+def _counted_blocks(batches: Batches, width: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Blocks with how often each row counts, or None where they do not say."""
+    for batch in batches:
+        times = batch.column("times") if "times" in batch.schema.names else None
+        for i, block in enumerate(_blocks(iter([batch]), width)):
+            yield *block, None if times is None else np.frombuffer(times[i].as_buffer(), np.float64)
+
+
 def _drawn_blocks(batches: Batches, width: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Blocks with their draws, replicates x rows, or None where they carry none."""
+    """Blocks with their draws, replicates x rows, or None where they carry none.
+
+    Merged rows hold sums of draws; without draws their counts stand for one replicate.
+    """
     for batch in batches:
-        rows = _blocks(iter([batch]), width)
-        if "draws" not in batch.schema.names:
-            yield from ((*block, None) for block in rows)
-            continue
-        for (y, fold, x), drawn in zip(rows, batch.column("draws"), strict=True):
-            yield y, fold, x, np.frombuffer(drawn.as_buffer(), np.uint8).reshape(-1, len(y))
+        names = batch.schema.names
+        kind = np.float64 if "times" in names else np.uint8
+        drawn = batch.column("draws") if "draws" in names else None
+        for i, (y, fold, x, times) in enumerate(_counted_blocks(iter([batch]), width)):
+            if drawn is not None:
+                yield y, fold, x, np.frombuffer(drawn[i].as_buffer(), kind).reshape(-1, len(y))
+            else:
+                yield y, fold, x, None if times is None else times[None, :]
 
 
 def _expand(x: np.ndarray, products: list[tuple[int, int]]) -> np.ndarray:
@@ -160,7 +266,8 @@ def logistic_pass(
     coefficients by fit, intercepts)``. A fit sees every row outside its held-out fold. Per fit
     the result is the gradient, the intercept's gradient, the total loss and the row count, then
     on request the packed upper triangle of the Hessian, the intercept last. Where blocks carry
-    draws, fit i counts a row as often as replicate i drew it.
+    draws, fit i counts a row as often as replicate i drew it; merged rows count as often as they
+    stand for.
     """
 
     def run(batches: Batches) -> Batches:
@@ -172,7 +279,7 @@ def logistic_pass(
                 z = theta @ rows + bias[:, None]
                 seen = held_out[:, None] != fold[None, :]
                 if drawn is not None:
-                    seen = seen * drawn[ids].astype(np.float64)
+                    seen = seen * (drawn if len(drawn) == 1 else drawn[ids]).astype(np.float64)
                 shrunk = np.exp(-np.abs(z))
                 sigma = np.where(z < 0, shrunk, 1.0) / (1.0 + shrunk)
                 loss = np.maximum(np.where(y == 1.0, -z, z), 0.0) + np.log1p(shrunk)
@@ -210,8 +317,9 @@ def confusion_pass(
 
     def run(batches: Batches) -> Batches:
         sums: dict[int, np.ndarray] = {}
-        for y, fold, x in _blocks(batches, width):
+        for y, fold, x, times in _counted_blocks(batches, width):
             terms = _expand(x, products)
+            each = np.ones(len(y)) if times is None else times
             for m, ids, held_out, theta, bias in groups:
                 z = theta @ terms[:m] + bias[:, None]
                 shrunk = np.exp(-np.abs(z))
@@ -220,12 +328,12 @@ def confusion_pass(
                 truth = (y == 1.0)[None, :]
                 counts = np.column_stack(
                     [
-                        (scored & said & truth).sum(axis=1),
-                        (scored & ~said & ~truth).sum(axis=1),
-                        (scored & said & ~truth).sum(axis=1),
-                        (scored & ~said & truth).sum(axis=1),
+                        (scored & said & truth) @ each,
+                        (scored & ~said & ~truth) @ each,
+                        (scored & said & ~truth) @ each,
+                        (scored & ~said & truth) @ each,
                     ]
-                ).astype(np.float64)
+                )
                 for fit, values in zip(ids.tolist(), counts):
                     sums[fit] = sums[fit] + values if fit in sums else values
         if sums:
@@ -242,8 +350,9 @@ def held_out_scores(
     """(fit, score, pos, neg): margins of many fits on their held-out folds, counted by block."""
 
     def run(batches: Batches) -> Batches:
-        for y, fold, x in _blocks(batches, width):
+        for y, fold, x, times in _counted_blocks(batches, width):
             terms = _expand(x, products)
+            each = np.ones(len(y)) if times is None else times
             for m, ids, held_out, theta, bias in groups:
                 for i, held, weights, level in zip(ids.tolist(), held_out, theta, bias):
                     own = fold == held
@@ -254,8 +363,8 @@ def held_out_scores(
                         for w, row in zip(weights, terms[:m]):
                             z += w * row[own]
                         score, at = np.unique(z, return_inverse=True)
-                        pos = np.bincount(at, y[own], len(score))
-                        every = np.bincount(at, minlength=len(score))
+                        pos = np.bincount(at, y[own] * each[own], len(score))
+                        every = np.bincount(at, each[own], len(score))
                         columns = [np.full(len(score), i, np.int32), score, pos, every - pos]
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(c) for c in columns], names=["fit", "score", "pos", "neg"]

@@ -228,7 +228,7 @@ def logistic_fit(
     and gradient carry the penalty. The intercept is never penalised.
     """
     check_fit_parameters(method, max_iter, [l2], tol, fit_intercept)
-    with pack_blocks(df, label, features) as blocks:
+    with pack_blocks(df, label, features, merge=True) as blocks:
         fit = Fit(graded_terms(blocks.width, 1), l2)
         fit_many(blocks, [fit], method, max_iter, learning_rate, tol, fit_intercept)
         return fit.model(fit.terms)

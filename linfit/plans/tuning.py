@@ -103,7 +103,8 @@ def cross_validate_logistic(
 ) -> CVResult:
     """Pick (degree, lambda) by mean score over k folds, then refit the winner on all rows.
 
-    ``df`` carries fold numbers 0 to k-1. Only the unexpanded features are cached. Each
+    ``df`` carries fold numbers 0 to k-1. Only the unexpanded features are cached, equal rows of
+    a partition as one with a count. Each
     iteration is one job over them in which all folds, degrees and lambdas advance together:
     tasks build the highest degree's terms once, and lower degrees use a prefix of these. The
     score ``area`` ranks by the ROC area, for all of them in one job more.
@@ -114,7 +115,7 @@ def cross_validate_logistic(
     check_fit_parameters(method, max_iter, [v for _, v in grid], tol, True)
     if score_type not in (*SCORE_TYPES, AREA):
         raise ValueError(f"unknown score {score_type!r}: use one of {', '.join((*SCORE_TYPES, AREA))}")
-    with pack_blocks(df, label, features, fold) as blocks:
+    with pack_blocks(df, label, features, fold, merge=True) as blocks:
         plan = [(d, v, f) for d, v in grid for f in range(k)]
         fits = [Fit(graded_terms(blocks.width, d), v, f) for d, v, f in plan]
         fit_many(blocks, fits, method, max_iter, learning_rate, tol)
@@ -144,7 +145,7 @@ def score_best(
 
     Scored block by block, like the folds of the search, so thousands of terms cost no plan.
     """
-    with pack_blocks(test, label, features) as blocks:
+    with pack_blocks(test, label, features, merge=True) as blocks:
         if blocks.width != result.width:
             raise ValueError(f"expected feature vectors of {result.width}, not {blocks.width}")
         terms = graded_terms(blocks.width, result.best[0])
