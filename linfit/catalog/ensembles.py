@@ -57,10 +57,11 @@ def bootstrap_draws(spark: SparkSession, folder: str) -> DataFrame:
     return each.groupBy("replicate", "times").agg(F.count("*").alias("rows"))
 
 
-def replicates_of(spark: SparkSession, folder: str) -> BaggedModel:
+def replicates_of(spark: SparkSession, folder: str, out_of_bag: bool = True) -> BaggedModel:
     return bagged_logistic_fit(
-        spread(lines(spark, folder)), KEYS, replicates=REPLICATES, max_iter=NEWTON_STEPS, tol=0.0, hash_fn="md5"
-    )
+        spread(lines(spark, folder)), KEYS, replicates=REPLICATES, max_iter=NEWTON_STEPS, tol=0.0, hash_fn="md5",
+        out_of_bag=out_of_bag,
+    )
 
 
 @query(
@@ -71,7 +72,7 @@ def replicates_of(spark: SparkSession, folder: str) -> BaggedModel:
 )
 def bootstrap_logistic_fit(spark: SparkSession, folder: str) -> DataFrame:
     """The coefficients of every replicate, all fitted in the same passes."""
-    found = replicates_of(spark, folder)
+    found = replicates_of(spark, folder, out_of_bag=False)
     rows = [(r, *map(float, t), float(b)) for r, (t, b) in enumerate(zip(found.theta, found.intercepts))]
     out = spark.createDataFrame(rows, schema="replicate int, theta0 double, theta1 double, intercept double")
     return out.select("replicate", *(rounded(c, 8).alias(c) for c in ("theta0", "theta1", "intercept")))

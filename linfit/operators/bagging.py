@@ -31,21 +31,27 @@ POISSON = tuple(
     int(BUCKETS * exp(-1.0) * sum(1.0 / factorial(i) for i in range(k + 1))) for k in range(12)
 )
 
+#: Replicates whose draws are written out one by one.
+MAX_GENERATED_DRAWS = 32
+
 
 def replicate_bucket(keys: Sequence[str], replicate: Column, hash_fn: str = "xxhash64") -> Column:
     """A number in [0, 2**32) that depends on the key values and the replicate alone.
 
     As ``key_bucket``, with the replicate's number as the last value.
     """
-    columns = [*(column(k) for k in keys), replicate.cast("long")]
     if hash_fn == "xxhash64":
-        return F.pmod(F.xxhash64(*columns), F.lit(BUCKETS))
+        return F.pmod(F.xxhash64(*(column(k) for k in keys), replicate.cast("long")), F.lit(BUCKETS))
     if hash_fn == "md5":
-        text = F.concat_ws("|", *[c.cast("string") for c in columns])
-        return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
+        return F.conv(F.substring(F.md5(_key_text(keys, replicate)), 1, 8), 16, 10).cast("long")
     raise ValueError(f"unknown hash {hash_fn!r}: use one of {', '.join(HASHES)}")
 
 
+def _key_text(keys: Sequence[str], replicate: Column) -> Column:
+    columns = [*(column(k) for k in keys), replicate.cast("long")]
+    return F.concat_ws("|", *[c.cast("string") for c in columns]).cast("binary")
+
+
 def poisson_draws(keys: Sequence[str], replicates: int, hash_fn: str = "xxhash64") -> Column:
     """How often each replicate draws a row: ``array<int>``.
 
@@ -55,14 +61,29 @@ def poisson_draws(keys: Sequence[str], replicates: int, hash_fn: str = "xxhash64
     if not keys or replicates < 1:
         raise ValueError("draws need a key and at least one replicate")
 
-    def count(u: Column) -> Column:
-        out = F.when(u < POISSON[0], 0)
+    def count(u: Column, limit) -> Column:
+        out = F.when(u < limit(POISSON[0]), 0)
         for k, least in enumerate(POISSON[1:], 1):
-            out = out.when(u < least, k)
+            out = out.when(u < limit(least), k)
         return out.otherwise(len(POISSON))
 
+    if hash_fn == "md5":
+        # Eight hexadecimal digits are ordered as the number they write.
+        def digits(r: Column) -> Column:
+            return F.substring(F.md5(_key_text(keys, r)), 1, 8)
+
+        return _each(replicates, digits, lambda u: count(u, lambda n: F.lit(f"{n:08x}")))
+    return _each(replicates, lambda r: replicate_bucket(keys, r, hash_fn), lambda u: count(u, F.lit))
+
+
+def _each(replicates: int, draw, count) -> Column:
+    """An array over the replicates; written out, and so compiled, where there are few."""
     numbers = F.sequence(F.lit(0), F.lit(replicates - 1))
-    return F.transform(F.transform(numbers, lambda r: replicate_bucket(keys, r, hash_fn)), count)
+    if replicates <= MAX_GENERATED_DRAWS:
+        numbers = F.array(*(draw(F.lit(r)) for r in range(replicates)))
+    else:
+        numbers = F.transform(numbers, draw)
+    return F.transform(numbers, count)
 
 
 @dataclass
@@ -104,20 +125,24 @@ def bagged_logistic_fit(
     tol: float = 1e-9,
     fit_intercept: bool = True,
     hash_fn: str = "xxhash64",
+    out_of_bag: bool = True,
 ) -> BaggedModel:
     """Fit every bootstrap replicate by the steps of ``logistic_fit``, in shared passes.
 
     Nulls, labels other than 0 and 1, vectors of different lengths and an empty table raise, and so
     does a replicate that drew no row. With one replicate and few rows, none may be left out; the
-    scores are then None.
+    scores are then None. With ``out_of_bag`` every row keeps its own draws, to be scored by them;
+    without, no row is scored, and equal rows of a partition are one row with the sum of their draws.
     """
     check_fit_parameters(method, max_iter, [l2], tol, fit_intercept)
     draws = poisson_draws(keys, replicates, hash_fn)
-    with pack_blocks(df, label, features, draws=draws) as blocks:
+    with pack_blocks(df, label, features, draws=draws, merge=not out_of_bag) as blocks:
         fits = [Fit(graded_terms(blocks.width, 1), l2) for _ in range(replicates)]
         fit_many(blocks, fits, method, max_iter, learning_rate, tol, fit_intercept)
         theta = np.stack([f.theta for f in fits])
         intercepts = np.array([f.intercept for f in fits])
+        if not out_of_bag:
+            return BaggedModel(theta, intercepts, 0, None, None)
         kernel = kernels.out_of_bag_pass(blocks.width, theta, intercepts, PROBABILITY_FLOOR)
         sums = sum_partials(blocks.read().mapInArrow(kernel, PARTIALS), blocks.partitions).first()
     rows, hits, loss = sums.part
