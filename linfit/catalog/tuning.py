@@ -35,6 +35,7 @@ from linfit.operators.resample import (
     with_fold,
 )
 from linfit.plans.tuning import (
+    CountedScaler,
     CVResult,
     best_score,
     cross_entropy_evaluator,
@@ -269,17 +270,22 @@ def cv_best_holdout_score(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("cv_native_auc")
 def cv_native_auc(spark: SparkSession, folder: str) -> DataFrame:
-    """The library's search over degree and regularisation, by area under the ROC curve."""
-    table = with_fold(lines(spark, folder), KEYS, FOLDS, hash_fn="md5").select(
-        "label", "fold", array_to_vector("features").alias("features")
-    )
+    """The library's search over degree and regularisation, by area under the ROC curve.
+
+    It reads its rows again for every step of every fit, so equal ones become one with a count.
+    """
+    table = with_fold(lines(spark, folder), KEYS, FOLDS, hash_fn="md5")
+    counted = table.groupBy("label", "fold", "features").agg(F.count("*").cast("double").alias("rows"))
+    table = counted.select("label", "fold", "rows", array_to_vector("features").alias("features"))
+    table = table.coalesce(spark.sparkContext.defaultParallelism)
     expand = PolynomialExpansion(inputCol="features", outputCol="terms")
-    fit = LogisticRegression(featuresCol="terms", maxIter=40)
+    scale = CountedScaler("terms", "scaled", "rows")
+    fit = LogisticRegression(featuresCol="scaled", weightCol="rows", standardization=False, maxIter=40)
     model = cross_validate_native(
-        spread(table),
-        [expand, fit],
+        table,
+        [expand, scale, fit],
         [(expand.degree, [1, 2, 3]), (fit.regParam, [0.1, 0.01])],
-        AreaUnderRoc(),
+        AreaUnderRoc(rows="rows"),
         FOLDS,
         fold="fold",
     )

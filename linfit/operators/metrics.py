@@ -105,21 +105,25 @@ def multiclass_cross_entropy(
     return predictions.agg(F.avg(-F.ln(clip_probability(chosen))).alias("cross_entropy"))
 
 
-def area_under_roc(predictions: DataFrame, label: str = "label", score: str = "score") -> float:
+def area_under_roc(
+    predictions: DataFrame, label: str = "label", score: str = "score", rows: str | None = None
+) -> float:
     """Exact area under the ROC curve: the share of (positive, negative) pairs ranked right.
 
     Rows are first counted per score, so a score that many rows share is one row from there on.
     Distinct scores are dealt out by range; every partition counts its own pairs and reports one
-    row, and a partition's positives also beat all negatives of the partitions below.
+    row, and a partition's positives also beat all negatives of the partitions below. A row counts
+    as often as ``rows`` says, where that is given.
     """
     positive = known((column(label) == 1.0).cast("double"), "label")
     value = column(score).cast("double")
     value = F.when(value.isNotNull() & ~F.isnan(value), value).otherwise(
         F.raise_error(F.lit("null score or not a number"))
     )
-    rows = predictions.select(value.alias("score"), positive.alias("pos"))
-    counts = rows.groupBy("score").agg(
-        F.sum("pos").alias("pos"), F.sum(1.0 - F.col("pos")).alias("neg")
+    times = known(column(rows).cast("double"), "count") if rows else F.lit(1.0)
+    each = predictions.select(value.alias("score"), (positive * times).alias("pos"), times.alias("n"))
+    counts = each.groupBy("score").agg(
+        F.sum("pos").alias("pos"), F.sum(F.col("n") - F.col("pos")).alias("neg")
     )
     ranged = counts.repartitionByRange("score").sortWithinPartitions("score")
     parts = ranged.mapInArrow(
@@ -184,14 +188,20 @@ def ranked_areas(rows: DataFrame) -> dict[int, tuple[float | None, float]]:
 class AreaUnderRoc(Evaluator):
     """``area_under_roc`` of the raw prediction, for the library's search."""
 
-    def __init__(self, label: str = "label", raw_prediction: str = "rawPrediction") -> None:
+    def __init__(
+        self, label: str = "label", raw_prediction: str = "rawPrediction", rows: str | None = None
+    ) -> None:
         super().__init__()
-        self.label, self.raw_prediction = label, raw_prediction
+        self.label, self.raw_prediction, self.rows = label, raw_prediction, rows
 
     def _evaluate(self, dataset: DataFrame) -> float:
         margin = vector_to_array(column(self.raw_prediction))[1]
-        rows = dataset.select(column(self.label).alias("label"), margin.alias("score"))
-        return area_under_roc(rows)
+        rows = dataset.select(
+            column(self.label).alias("label"),
+            margin.alias("score"),
+            *([column(self.rows).alias("rows")] if self.rows else []),
+        )
+        return area_under_roc(rows, rows="rows" if self.rows else None)
 
     def isLargerBetter(self) -> bool:
         return True

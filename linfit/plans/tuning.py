@@ -7,14 +7,17 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline
+from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
+from pyspark.ml.feature import ElementwiseProduct
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linfit.functions.features import monomials
+from linfit.functions.features import column, monomials
 from linfit.functions.scalar import PROBABILITY_FLOOR
 from linfit.operators.errors import DivergedError
 from linfit.operators.instances import UNFOLDED, pack_blocks
@@ -199,6 +202,29 @@ def cross_validate_native(
     return model
 
 
+class CountedScaler(Estimator):
+    """Divides each feature by its sample deviation, each row counted ``rows`` times.
+
+    The library's own scaling takes weights as importance, so that its deviation depends on how
+    rows are merged; a fit on counted rows scales by this one instead. A feature without deviation
+    becomes 0.
+    """
+
+    def __init__(self, features: str, out: str, rows: str) -> None:
+        super().__init__()
+        self.features, self.out, self.rows = features, out, rows
+
+    def _fit(self, dataset: DataFrame) -> ElementwiseProduct:
+        w = column(self.rows).cast("double")
+        summary = Summarizer.metrics("std").summary(column(self.features), w)
+        found = dataset.agg(summary["std"].alias("std"), F.sum(w).alias("n"), F.sum(w * w).alias("squares")).first()
+        # From the library's n - squares / n in the denominator to n - 1.
+        free = found.n - found.squares / found.n
+        std = found.std.toArray() * (np.sqrt(free / (found.n - 1)) if found.n > 1 else 0.0)
+        factor = [1.0 / s if s > 0 else 0.0 for s in std]
+        return ElementwiseProduct(scalingVec=Vectors.dense(factor), inputCol=self.features, outputCol=self.out)
+
+
 def native_scores(spark: SparkSession, model: CrossValidatorModel) -> DataFrame:
     """``(point, params, score)`` of a library search, one row per grid point."""
     rows = [

@@ -2,11 +2,17 @@
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from linfit.catalog import tuning as catalog
 from linfit.operators import kernels
+from linfit.operators.bagging import POISSON, bagged_logistic_fit, poisson_draws, replicate_bucket
 from linfit.operators.instances import pack_blocks
 from linfit.operators.logistic import Fit, area_many, confusion_many, fit_many, graded_terms
+from linfit.operators.metrics import AreaUnderRoc
 from linfit.plans import tuning
 
 
@@ -74,3 +80,51 @@ def test_what_cannot_be_merged_still_raises(spark):
             pack_blocks(table, merge=True)
     with pytest.raises(ValueError, match="not merged"):
         pack_blocks(table, merge=True, apart=True)
+
+
+@pytest.mark.parametrize("hash_fn", ["md5", "xxhash64"])
+def test_replicates_of_merged_rows(few, hash_fn):
+    keyed = few.withColumn("id", F.monotonically_increasing_id())
+    draws = poisson_draws(["id"], 3, hash_fn)
+    many = F.slice(poisson_draws(["id"], 40, hash_fn), 1, 3)
+    buckets = [replicate_bucket(["id"], F.lit(r), hash_fn) for r in range(3)]
+    counted = F.array(*(sum(((u >= t).cast("int") for t in POISSON), F.lit(0)) for u in buckets))
+    assert keyed.where((draws != counted) | (many != counted)).count() == 0
+    with pack_blocks(keyed, draws=draws, merge=True) as blocks:
+        assert stored(blocks) < 100
+    own, merged = (
+        bagged_logistic_fit(keyed, ["id"], replicates=3, max_iter=4, l2=0.1, hash_fn=hash_fn, out_of_bag=scored)
+        for scored in (True, False)
+    )
+    assert np.allclose(own.theta, merged.theta, rtol=1e-9) and np.allclose(own.intercepts, merged.intercepts)
+    assert own.rows > 0 and merged.rows == 0 and merged.accuracy is None
+
+
+def test_library_fits_of_counted_rows(few):
+    rows = few.select("label", array_to_vector("features").alias("features"))
+    counted = few.groupBy("label", "features").agg(F.count("*").cast("double").alias("rows"))
+    counted = counted.select("label", "rows", array_to_vector("features").alias("features")).coalesce(2)
+    plain = LogisticRegression(regParam=0.1, tol=1e-12).fit(rows)
+    scale = tuning.CountedScaler("features", "scaled", "rows")
+    fit = LogisticRegression(featuresCol="scaled", weightCol="rows", standardization=False, regParam=0.1, tol=1e-12)
+    model = Pipeline(stages=[scale, fit]).fit(counted)
+    factor = model.stages[0].getScalingVec().toArray()
+    assert np.allclose(model.stages[1].coefficients.toArray() * factor, plain.coefficients.toArray(), atol=1e-8)
+    area = AreaUnderRoc().evaluate(plain.transform(rows))
+    assert AreaUnderRoc(rows="rows").evaluate(model.transform(counted)) == pytest.approx(area, abs=1e-12)
+    constant = counted.withColumn("features", array_to_vector(F.array(F.lit(2.0))))
+    assert scale.fit(constant).getScalingVec().toArray().tolist() == [0.0]
+
+
+def test_the_native_search_reads_counted_rows(spark, small, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def search(df, *_, **__):
+        raise Seen(df.columns, df.count(), df.agg(F.sum("rows")).first()[0])
+
+    monkeypatch.setattr(catalog, "cross_validate_native", search)
+    with pytest.raises(Seen) as seen:
+        catalog.cv_native_auc(spark, small)
+    columns, different, rows = seen.value.args
+    assert "rows" in columns and different < rows == spark.read.parquet(f"{small}/lineitem.parquet").count()
