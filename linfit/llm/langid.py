@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linfit.llm.common import held_out, map_rows
+from linfit.llm.common import give_back, held_out, map_rows
 
 #: Hash buckets of the n-grams.
 DIM = 1 << 13
@@ -223,19 +223,38 @@ def fit(
         return work
 
     sample = map_rows(chosen, start, "whole binary, cut array<binary>", ("lang", "h"))
-    by_lang: dict[str, list] = {}
-    for r in sample.collect():  # per_language sparse rows of each language, and their beginnings
-        by_lang.setdefault(r.lang, []).append((r.h, bytes(r.whole), [bytes(c) for c in r.cut]))
+    # Rows of one id may be many, so they are cut off before a language meets in a task.
+    order = Window.partitionBy("lang").orderBy("h", "whole", "cut")
+    sample = sample.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language)
     model = Centroids(idf, np.zeros((0, DIM), np.float32), [], np.zeros(0))
-    centres, langs, floors = [], [], []
-    for lang in sorted(by_lang):
-        own = sorted(by_lang[lang])[:per_language]
-        x = model.vectors(np.stack([unpacked(whole) for _, whole, _ in own]))
-        c = k_means(x, centroids)
-        centres.append(c)
-        langs += [lang] * len(c)
-        floors += [floors_of(model, [cut for _, _, cut in own], x, centroids)] * len(c)
-    return Centroids(idf, np.vstack(centres).astype(np.float32), langs, np.array(floors))
+    learned = sample.groupBy("lang").applyInArrow(
+        language_fit(model, centroids), "lang string, centres binary, floors binary"
+    )
+    found = sorted(learned.collect(), key=lambda r: r.lang)  # ``centroids`` rows of each language
+    centres = [np.frombuffer(bytes(r.centres), np.float32).reshape(-1, DIM) for r in found]
+    langs = [r.lang for r, c in zip(found, centres, strict=True) for _ in c]
+    floors = [np.frombuffer(bytes(r.floors)) for r, c in zip(found, centres, strict=True) for _ in c]
+    return Centroids(idf, np.vstack(centres), langs, np.array(floors))
+
+
+def language_fit(model: Centroids, centroids: int) -> Callable:
+    """From the sampled texts of a language to its centroids and floors, in a task."""
+
+    def work(table):
+        import pyarrow as pa
+
+        try:
+            own = sorted(zip(*(table.column(c).to_pylist() for c in ("h", "whole", "cut")), strict=True))
+            x = model.vectors(np.stack([unpacked(whole) for _, whole, _ in own]))
+            c = k_means(x, centroids)
+            floors = floors_of(model, [cut for _, _, cut in own], x, centroids)
+            out = (table.column("lang")[0].as_py(), c.astype(np.float32).tobytes(), floors.tobytes())
+            return pa.table({k: [v] for k, v in zip(("lang", "centres", "floors"), out)})
+        finally:
+            own = x = c = None
+            give_back()
+
+    return work
 
 
 def predict(docs: DataFrame, model: Centroids, carry: tuple[str, ...]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 from collections import Counter
@@ -75,6 +76,20 @@ def test_language_is_read_off_the_text_alone(corpus, spark):
     assert [r.rejected for r in langid.predict(spark.createDataFrame([("漢字" * 40,)], "text string"), model, ()).collect()] == [True]
 
 
+def test_languages_are_fitted_in_tasks(corpus, monkeypatch):
+    """The driver gets centroids and floors, and no sampled text."""
+    driver, fitted = os.getpid(), langid.k_means
+
+    def away(x, k):
+        assert os.getpid() != driver
+        return fitted(x, k)
+
+    monkeypatch.setattr(langid, "k_means", away)
+    model = langid.fit(corpus[0], per_language=40)
+    assert model.langs == [k for k in ("aa", "bb", "cc") for _ in range(langid.CENTROIDS)]
+    assert model.centres.dtype == np.float32 and model.floors.shape == (len(model.langs), len(langid.LENGTHS))
+
+
 def test_language_rejects_noise_and_keeps_short_texts(spark):
     rng = random.Random(41)
     aa, bb = (["".join(rng.choice(SYLLABLES[k]) for _ in range(rng.randrange(1, 4))) for _ in range(300)] for k in ("aa", "bb"))
