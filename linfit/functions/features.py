@@ -60,7 +60,8 @@ def array_to_features(
 
     The default turns an unreadable element into null; pass ``safe_double`` for 0.0 instead.
     """
-    element = element or (lambda x: F.trim(x).try_cast("double"))
+    if element is None:  # a cast ignores blanks around a number, and is compiled
+        return _named(parts).try_cast("array<double>")
     return F.transform(_named(parts), element)
 
 

@@ -14,10 +14,12 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 
+from linfit.functions.features import column
+from linfit.functions.vectors import sized
 from linfit.operators import kernels
 from linfit.operators.instances import UNFOLDED, Blocks, pack_blocks
 from linfit.operators.linear import solve_positive_definite
-from linfit.operators.moments import PARTIALS, sum_partials
+from linfit.operators.moments import PARTIALS, likely_partitions, sum_partials
 from linfit.operators.resample import check_folds
 
 
@@ -44,6 +46,11 @@ class FoldMoments:
         square = np.outer(first, mean) if second.ndim == 2 else first * mean
         return float(n), self.shift + mean, second - square
 
+    def products_around(self, fold: int, mean: np.ndarray) -> np.ndarray:
+        """Products of the entries of ``fold`` around any point, of moments that hold products."""
+        n, sums, off = self.rows[fold], self.first[fold], self.shift - mean
+        return self.second[fold] + np.outer(sums, off) + np.outer(off, sums) + n * np.outer(off, off)
+
     def error(self, fold: int, theta: np.ndarray, intercept: float) -> float:
         """Root mean squared error of a linear fit on the rows of ``fold``."""
         n, w = self.rows[fold], np.append(-theta, 1.0)
@@ -70,9 +77,13 @@ def fold_moments(blocks: Blocks, k: int, products: bool = False) -> FoldMoments:
     kernel = kernels.fold_moments_pass(blocks.width, shift, products)
     added = sum_partials(blocks.read().mapInArrow(kernel, PARTIALS), blocks.partitions).collect()
     sums = {0 if k == 1 and r.fit == UNFOLDED else r.fit: np.array(r.part) for r in added}
+    return _table(sums, k, shift, products)
+
+
+def _table(sums: dict[int, np.ndarray], k: int, shift: np.ndarray, products: bool) -> FoldMoments:
     if not set(sums) <= set(range(k)):
         raise ValueError(f"folds must be 0 to {k - 1}, not {sorted(sums)}")
-    d = blocks.width + 1
+    d = len(shift)
     size = 1 + d + (d * (d + 1) // 2 if products else d)
     table = np.stack([sums.get(f, np.zeros(size)) for f in range(k)])
     second = table[:, 1 + d :]
@@ -83,6 +94,23 @@ def fold_moments(blocks: Blocks, k: int, products: bool = False) -> FoldMoments:
     return FoldMoments(shift, np.rint(table[:, 0]), table[:, 1 : 1 + d], second)
 
 
+def split_moments(df: DataFrame, values: str, fold: str, width: int) -> FoldMoments:
+    """Products of an array column by fold (0 train, 1 test), from one pass that caches nothing.
+
+    A null array or element, an array of another length and a table without training rows raise.
+    """
+    rows = df.select(column(fold).cast("int").alias("fold"), sized(column(values), width, column(values)).alias("x"))
+    first = rows.where("fold = 0").select("x").first()
+    if first is None:
+        raise ValueError("no instances to fit on")
+    if first.x is None or None in first.x:
+        raise ValueError("null feature vector or element")
+    shift = np.array(first.x)
+    kernel = kernels.split_moments_pass(shift)
+    added = sum_partials(rows.mapInArrow(kernel, PARTIALS), likely_partitions(df)).collect()
+    return _table({r.fit: np.array(r.part) for r in added}, 2, shift, True)
+
+
 @dataclass
 class RidgeSearch:
     """(lambda, fold, rmse) of every fit, and the winner fitted on all rows."""
@@ -118,10 +146,7 @@ def ridge_search(
         n = moments.rows[f]
         if not n:
             raise ValueError(f"fold {f} has no rows")
-        # The held-out rows' products around the training means.
-        off = moments.shift - mean
-        sums = moments.first[f]
-        held = moments.second[f] + np.outer(sums, off) + np.outer(off, sums) + n * np.outer(off, off)
+        held = moments.products_around(f, mean)
         for l2 in lambdas:
             theta = _solve(around, l2)
             w = np.append(-theta, 1.0)

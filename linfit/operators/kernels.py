@@ -503,6 +503,28 @@ def fold_moments_pass(
     return run
 
 
+def split_moments_pass(shift: np.ndarray) -> Callable[[Batches], Batches]:
+    """As ``fold_moments_pass`` with products, over rows of (fold, x)."""
+    lower = np.tril_indices(len(shift))
+
+    def run(batches: Batches) -> Batches:
+        sums: dict[int, list] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            fold, v = batch.column(0).to_numpy(zero_copy_only=False), matrix(batch.column(1)) - shift
+            for f in np.unique(fold).tolist():
+                own = v[fold == f]
+                found = [len(own), own.sum(axis=0), own.T @ own]
+                sums[f] = [a + b for a, b in zip(sums[f], found)] if f in sums else found
+        if sums:
+            yield partial_batch(
+                {f: np.concatenate([[n], first, second[lower]]) for f, (n, first, second) in sums.items()}
+            )
+
+    return run
+
+
 def gram_pass(batches: Batches) -> Batches:
     """Sum of w x xT over (x[, w]): row i up to its diagonal as partial i, the width in front."""
     acc = None

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -27,17 +28,17 @@ from linfit.functions.features import (
     slice_features,
     tokenize,
 )
-from linfit.functions.vectors import dot_constant
-from linfit.operators.encoding import fit_scaling, label_map, label_map_difference
+from linfit.operators.encoding import Scaling, label_map, label_map_difference
+from linfit.operators.fold_moments import split_moments
 from linfit.operators.instances import spread
-from linfit.operators.linear import LinearModel, linear_predict, ridge_fit, ridge_native
-from linfit.operators.metrics import multiclass_accuracy, rmse
+from linfit.operators.linear import LinearModel, ridge_native, solve_positive_definite
+from linfit.operators.metrics import multiclass_accuracy
 from linfit.operators.multinomial import (
     MultinomialSearch,
     cross_validate_multinomial,
     multinomial_predict,
 )
-from linfit.operators.resample import holdout, with_fold
+from linfit.operators.resample import BUCKETS, holdout, key_bucket, with_fold
 from linfit.plans.tuning import (
     CVResult,
     cross_entropy_evaluator,
@@ -109,9 +110,9 @@ class SongYearResult:
     scores: DataFrame
 
 
-def song_instances(lines: DataFrame, fields: int = SONG_FIELDS) -> DataFrame:
-    """``values``: the numbers of each line; a line of another length raises."""
-    return lines.select(array_to_features(tokenize("value", ",", fields)).alias("values"))
+def song_instances(lines: DataFrame, fields: int = SONG_FIELDS, *keys: str) -> DataFrame:
+    """``(keys.., values)``: the numbers of each line; a line of another length raises."""
+    return lines.select(*keys, array_to_features(tokenize("value", ",", fields)).alias("values"))
 
 
 def song_features(centred: DataFrame, fields: int = SONG_FIELDS) -> DataFrame:
@@ -139,32 +140,34 @@ def song_year_job(
 ) -> SongYearResult:
     """Ridge regression of a line's first number on the others, own solver beside the library's.
 
-    All fields are centred on the training means, which replaces an intercept. The parsed
-    training rows are kept, since scaling and both fits read them.
+    All fields are centred on the training means, which replaces an intercept. One pass over the
+    lines sums the products of both sides of the split; means, the own fit and every error follow
+    from these sums. The library's fit reads the training lines once more, and nothing is kept.
     """
-    train_lines, test_lines = holdout(lines, ["value"], test_fraction, hash_fn)
-    train = song_instances(spread(train_lines), fields).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        scaling = fit_scaling(train, "values")
-
-        def centred(df: DataFrame) -> DataFrame:
-            values = scaling.apply("values", with_mean=True, with_std=False)
-            return song_features(df.select(values.alias("values")), fields)
-
-        train_rows = centred(train)
-        own = ridge_fit(train_rows, l2=l2, width=fields - 1)
-        native = ridge_native(train_rows, reg_param=l2)
-        test_rows = centred(song_instances(test_lines, fields))
-        off = {
-            name: F.col("label") - dot_constant(F.col("features"), model.theta)
-            for name, model in (("own_rmse", own), ("native_rmse", native))
-        }
-        scores = test_rows.agg(*[F.sqrt(F.avg(e * e)).alias(name) for name, e in off.items()])
-        train_rmse = rmse(linear_predict(train_rows, native)).first()["rmse"]
-        scores = scores.withColumn("native_train_rmse", F.lit(train_rmse))
-        return SongYearResult(scaling.mean, own, native, scores)
-    finally:
-        train.unpersist()
+    if l2 < 0:
+        raise ValueError("l2 must not be negative")
+    held = key_bucket(["value"], hash_fn) < int(test_fraction * BUCKETS)
+    values = song_instances(spread(lines.withColumn("fold", held.cast("int"))), fields, "fold")
+    moments = split_moments(values, "values", "fold", fields)
+    rows, mean, around = moments.outside(1)
+    # The first number is the label, the last entry of a linear fit.
+    around, held_out = (np.roll(m, -1, (0, 1)) for m in (around, moments.products_around(1, mean)))
+    theta = solve_positive_definite(around[:-1, :-1] + l2 * np.eye(fields - 1), around[:-1, -1])
+    own = LinearModel([float(t) for t in theta])
+    scaling = Scaling([float(m) for m in mean], [0.0] * fields)
+    train = values.where("fold = 0").select(scaling.apply("values", True, False).alias("values"))
+    native = ridge_native(song_features(train, fields), reg_param=l2)
+
+    def error(model: LinearModel, products: np.ndarray, n: float) -> float | None:
+        w = np.append(-np.array(model.theta), 1.0)
+        return float(np.sqrt(max(w @ products @ w, 0.0) / n)) if n else None
+
+    tested = moments.rows[1]
+    found = error(own, held_out, tested), error(native, held_out, tested), error(native, around, rows)
+    scores = lines.sparkSession.createDataFrame(
+        [found], "own_rmse double, native_rmse double, native_train_rmse double"
+    )
+    return SongYearResult(scaling.mean, own, native, scores)
 
 
 @dataclass

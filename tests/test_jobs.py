@@ -88,3 +88,32 @@ def test_own_and_library_searches_agree(spark, small, tmp_path):
     mine = {r.id: r.probability for r in own.probabilities.collect()}
     for r in library.probabilities.collect():
         assert np.allclose(mine[r.id], r.probability.toArray(), atol=1e-3)
+
+
+def test_song_year_job_keeps_no_rows(spark, monkeypatch):
+    """Means, own fit and errors follow from one pass of sums, against numpy on the rows themselves."""
+    rng = np.random.default_rng(3)
+    table = np.round(rng.normal(size=(400, 3)) * [20, 1, 5] + [1990, 7, -3], 6)
+    lines = spark.createDataFrame([(",".join(map(repr, map(float, r))),) for r in table], "value string")
+
+    def persist(*_):
+        raise AssertionError("rows were kept")
+
+    monkeypatch.setattr(type(lines), "persist", persist)
+    out = J.song_year_job(lines, l2=0.5, fields=3)
+    train, test = (
+        np.array([[float(v) for v in r.value.split(",")] for r in part.collect()])
+        for part in J.holdout(lines, ["value"], 0.3)
+    )
+    mean = train.mean(axis=0)
+    x, y = (train - mean)[:, 1:], (train - mean)[:, 0]
+    theta = np.linalg.solve(x.T @ x + 0.5 * np.eye(2), x.T @ y)
+    assert np.allclose(out.means, mean) and np.allclose(out.own.theta, theta)
+    held, row = test - mean, out.scores.first()
+    assert row.own_rmse == pytest.approx(np.sqrt(np.mean((held[:, 0] - held[:, 1:] @ theta) ** 2)))
+    native = np.array(out.native.theta)
+    assert row.native_rmse == pytest.approx(np.sqrt(np.mean((held[:, 0] - held[:, 1:] @ native) ** 2)))
+    assert row.native_train_rmse == pytest.approx(np.sqrt(np.mean((y - x @ native) ** 2)))
+    for bad in ("1,,3", "1,2"):
+        with pytest.raises(Exception, match="null feature|expected 3 fields"):
+            J.song_year_job(lines.unionAll(spark.createDataFrame([(bad,)] * 5, "value string")), fields=3)
