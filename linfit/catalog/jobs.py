@@ -85,13 +85,12 @@ def job_ridge_year(spark: SparkSession, folder: str) -> DataFrame:
 @query("job_click_prediction")
 def job_click_prediction(spark: SparkSession, folder: str) -> DataFrame:
     """Fit on labelled clicks, then count the predictions written for unlabelled ones."""
-    path, new, out = (scratch_path(spark, n) for n in ("clicks", "new", "clicked"))
-    table = clicks(spark, folder)
-    table.write.csv(path, header=True)
-    table.drop("clicked").write.csv(new, header=True)
+    path, out = (scratch_path(spark, n) for n in ("clicks", "clicked"))
+    clicks(spark, folder).write.csv(path, header=True)
+    table = read_csv(spark, path, click_schema(), header=True)
     result = click_job(
-        read_csv(spark, path, click_schema(), header=True),
-        read_csv(spark, new, click_schema(labelled=False), header=True),
+        table,
+        table.drop("clicked"),
         out,
         max_iter=100,
     )

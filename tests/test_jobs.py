@@ -4,6 +4,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 
+from linfit.catalog import jobs as catalog
 from linfit.catalog.jobs import leaves
 from linfit.catalog.base import clicks
 from linfit.catalog.scans import collisions
@@ -117,3 +118,16 @@ def test_song_year_job_keeps_no_rows(spark, monkeypatch):
     for bad in ("1,,3", "1,2"):
         with pytest.raises(Exception, match="null feature|expected 3 fields"):
             J.song_year_job(lines.unionAll(spark.createDataFrame([(bad,)] * 5, "value string")), fields=3)
+
+
+def test_the_click_table_is_written_once(spark, small, tmp_path, monkeypatch):
+    written = []
+
+    def path(_, name):
+        written.append(name)
+        return str(tmp_path / name)
+
+    monkeypatch.setattr(catalog, "scratch_path", path)
+    rows = catalog.job_click_prediction(spark, small).collect()
+    assert written == ["clicks", "clicked"]
+    assert sum(r["rows"] for r in rows) == clicks(spark, small).count()
