@@ -4,8 +4,10 @@ Two lines are near copies if at most ``EDITS`` edits, fewer for short lines, lea
 other. A line is cut into one segment more than that, one of which an edited copy must hold
 unchanged, at a place that the two lengths and the edits to the left and right of it leave open.
 So each line stands in an index under its segments, by length and number, and probes the index of
-each length it may meet with the few substrings that can match. Candidates are verified by an edit distance that keeps, for
-each number of edits, the reachable diagonals of the band as the bits of one integer.
+each length it may meet with the few substrings that can match. Lines that meet under a segment
+that many share are compared by all but two of more segments instead, and again by finer ones.
+Candidates are verified by an edit distance that keeps, for each number of edits, the reachable
+diagonals of the band as the bits of one integer.
 
 Lines that are near copies, directly or through others, form a class, of which the first line
 (by doc_id, then place) stays.
@@ -22,6 +24,9 @@ EDITS = 2
 #: Edits that are allowed grow with the length of the longer line: none below the first of these
 #: lengths, one from there on, two from the next.
 LENGTHS = (6, 12)
+#: Segments of a line, as a multiple of the edits and one more, in each round of the join; the lines
+#: of a key that more than ``CROWD`` lines are indexed under go to the next round.
+SCALES, CROWD = (1, 2, 4), 4
 _LAST = (1 << 63) - 1
 
 
@@ -33,42 +38,74 @@ def allowed(length: Column) -> Column:
     return out
 
 
-def segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 1) and length of the i-th segment (from 1); the last ones are longer by one."""
-    short = F.floor(length / (edits + 1)).cast("int")
-    longer = (length - short * (edits + 1)).cast("int")
-    first_long = F.lit(edits + 1) - longer + 1
-    start = (short * (i - 1) + 1 + F.greatest(F.lit(i) - first_long, F.lit(0))).cast("int")
-    return start, (short + (F.lit(i) >= first_long).cast("int")).cast("int")
+def _spared(edits: int, parts: int, probe: bool) -> Column:
+    """The segments (from 0) that edits may lie in, ``a`` and ``b``, and where the rest then stands.
 
-
-def _key(length: Column, i: int, edits: int, text: Column) -> Column:
-    return F.xxhash64(length.cast("int"), F.lit(i + 10 * edits), text)
-
-
-def index_keys(line: Column, length: Column, edits: int = EDITS) -> Column:
-    """Keys of a line's own segments."""
-    keys = []
-    for i in range(1, edits + 2):
-        start, size = segment(length, i, edits)
-        keys.append(_key(length, i, edits, F.substring(line, start, size)))
-    return F.array(*keys)
-
-
-def probe_keys(line: Column, length: Column, edits: int = EDITS) -> Column:
-    """Keys that an indexed line of the same length or up to ``edits`` less can share with it."""
-    keys = []
-    for less in range(edits + 1):
-        other = length - less
-        for i in range(1, edits + 2):
-            start, size = segment(other, i, edits)
-            low = max(-(i - 1), less - (edits + 1 - i))
-            high = min(i - 1, less + (edits + 1 - i))
-            for shift in range(low, high + 1):
-                # In a line shorter than its segments' shifts this cuts something else, which
-                # only makes a candidate more.
-                keys.append(_key(other, i, edits, F.substring(line, start + shift, size)))
-    return F.array(*keys)
+    Between ``a`` and ``b`` the probing line is shifted by ``s``, behind them by ``less``, what it
+    is longer by. Two edits are one in each of two segments, or both in neighbours.
+    """
+    rows = []
+    for less in range(edits + 1 if probe else 1):
+        for a in range(parts):
+            if edits == 1:
+                rows.append((1, a, a, 0, less))
+                continue
+            for b in range(a + 1, parts):
+                apart = probe and b > a + 1
+                rows += [(2, a, b, s, less) for s in (range(max(-1, less - 1), 2) if apart else [0])]
+    each = ("struct({} as e, {} as a, {} as b, {} as s, {} as less)".format(*r) for r in rows)
+    return F.expr(f"array({', '.join(each)})")
+
+
+def _keys(texts: DataFrame, scale: int, probe: bool) -> DataFrame:
+    """(id, key): a hash of all segments but those that edits may lie in, for each choice of these.
+
+    A line has ``scale`` times as many segments as edits and one more; finer ones make more keys,
+    each of more of the line. Equal keys of a probe and an indexed line, of the same length or up
+    to ``EDITS`` less, make a candidate, and near copies share one at any ``scale``.
+    """
+    n, (one, two) = F.col("n"), LENGTHS
+    once, twice = (_spared(e, (e + 1) * scale, probe) for e in (1, 2))
+    if probe:
+        every = F.when(n >= two, twice).when(n >= one, once)
+    else:  # a line is met by longer ones, which have up to that many more characters
+        every = F.when(n >= two, twice).when(n >= two - 2, F.concat(once, twice)).when(n >= one - 1, once)
+    # Four bytes a character, so that a part is cut out without counting characters.
+    rows = texts.withColumn("code", F.encode("line", "UTF-32")).select("id", "n", "code", F.explode(every).alias("at"))
+    rows = rows.select("id", "n", "code", "at.*")
+    e, a, b, s, less = (F.col(f) for f in ("e", "a", "b", "s", "less"))
+    other, parts = n - less, (e + 1) * scale
+
+    def edge(i: Column) -> Column:
+        """Where the i-th segment (from 0) begins; the last ones are longer by one."""
+        return F.call_function("div", other, parts).cast("int") * i + F.greatest(F.lit(0), i - parts + other % parts)
+
+    def cut(start: Column, end: Column) -> Column:
+        return F.substring(F.col("code"), start * 4 + 1, F.greatest(end - start, F.lit(0)) * 4)
+
+    # In a line shorter than its segments' shifts this cuts something else, which only makes a
+    # candidate more.
+    pieces = cut(F.lit(0), edge(a)), cut(edge(a + 1) + s, edge(b) + s), cut(edge(b + 1) + less, n)
+    return rows.select("id", F.xxhash64(other, e, a, b, *pieces).alias("key"))
+
+
+def _candidates(texts: DataFrame, scale: int, last: bool) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of the lines that share a key which few lines are indexed under, and the lines
+    to compare by finer segments: those that share one with more than ``CROWD``, none in the last
+    round. A near pair under such a key has both its lines among these."""
+    probes, index = _keys(texts, scale, True).withColumnRenamed("id", "from"), _keys(texts, scale, False)
+    other = index.withColumnRenamed("key", "same").hint("shuffle_hash")
+    met = probes.join(other, (F.col("key") == F.col("same")) & (F.col("from") != F.col("id")), "left_semi")
+    met = stored(met, "line-probes")
+    own = stored(index.join(met.select("key").distinct(), "key", "left_semi"), "line-index")
+    crowded = own.groupBy("key").agg(F.count("*").alias("lines")).where(F.col("lines") > (_LAST if last else CROWD))
+    crowded = stored(crowded.select("key"), "line-crowds")
+    few = own.join(crowded, "key", "left_anti")
+    pairs = met.join(few.hint("shuffle_hash"), "key").where(F.col("from") != F.col("id"))
+    pairs = pairs.select(F.least("from", "id").alias("a"), F.greatest("from", "id").alias("b"))
+    among = met.join(crowded, "key", "left_semi").select(F.col("from").alias("id"))
+    among = among.union(own.join(crowded, "key", "left_semi").select("id")).distinct()
+    return pairs, texts.join(among, "id", "left_semi")
 
 
 def _common(a: Column, b: Column, room: Column, part) -> Column:
@@ -180,17 +217,13 @@ def edit_links(lines: DataFrame) -> DataFrame:
     """
     distinct = lines.select("line").distinct().withColumn("n", F.length("line"))
     distinct = stored(distinct, "line-texts").withColumn("id", F.xxhash64("line"))
-    # Lengths are a column: within a condition each mention of one would count characters again.
-    line, n, none = F.col("line"), F.col("n"), F.array().cast("array<bigint>")
-    one, two = LENGTHS
-    probed = F.when(n >= two, probe_keys(line, n, 2)).when(n >= one, probe_keys(line, n, 1)).otherwise(none)
-    # A line is met by longer ones, which have up to that many more characters.
-    first = F.when((n >= one - 1) & (n < two), index_keys(line, n, 1)).otherwise(none)
-    second = F.when(n >= two - 2, index_keys(line, n, 2)).otherwise(none)
-    index = distinct.select("id", F.explode(F.concat(first, second)).alias("key"))
-    probes = distinct.select(F.col("id").alias("from"), F.explode(probed).alias("key"))
-    met = probes.join(index.hint("shuffle_hash"), "key").where(F.col("from") != F.col("id"))
-    pairs = met.select(F.least("from", "id").alias("a"), F.greatest("from", "id").alias("b"))
+    pairs, rest = _candidates(distinct, SCALES[0], last=False)
+    for scale in SCALES[1:]:
+        rest = stored(rest, "line-crowd")
+        if rest.isEmpty():
+            break
+        more, rest = _candidates(rest, scale, last=scale == SCALES[-1])
+        pairs = pairs.union(more)
     pairs = stored(pairs.distinct(), "line-candidates")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     texts = distinct.select("id", "line").join(ids.hint("shuffle_hash"), "id", "left_semi")
