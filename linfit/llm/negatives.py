@@ -109,11 +109,15 @@ def _pack(rows: DataFrame, size: int, scale: int, name: str) -> DataFrame:
 
 
 def _meet(anchors: DataFrame, rows: DataFrame, deals: int) -> DataFrame:
-    """Each block of anchors beside each block of rows of the same length."""
+    """Each block of anchors beside each block of rows of the same length.
+
+    The planner sizes the anchors as they are before they are dealt out, so it must not choose to
+    broadcast them.
+    """
     deal = F.pmod(F.xxhash64("block"), F.lit(deals)).cast("int")
     rows = rows.select(deal.alias("deal"), "dim", *(F.col(c).alias(f"row_{c}") for c in ("vec_id", "key", "label", "v")))
     asked = anchors.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))))
-    return asked.join(rows, ["deal", "dim"]).drop("deal", "block")
+    return asked.join(rows.hint("merge"), ["deal", "dim"]).drop("deal", "block")
 
 
 def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -250,11 +254,11 @@ def mine(
     limits = best.groupBy("anchor_id", "anchor_key").agg(F.sort_array(F.collect_set("limit"), asc=False).alias("limits"))
     padded = F.slice(F.concat("limits", F.array_repeat(F.lit(_LOWEST), positives)), 1, positives)
     keyed = limits.select(F.col("anchor_id").alias("vec_id"), F.col("anchor_key").alias("key"), padded.alias("limits"))
-    second = _pack(asked.join(keyed, ["vec_id", "key"]), ANCHORS, scale, "negative-limits")
+    second = _pack(asked.join(keyed.hint("merge"), ["vec_id", "key"]), ANCHORS, scale, "negative-limits")
     slots = _combined(_meet(second, blocks, deals), negatives, positives)
     order = F.struct("slot", (-F.col("score")).alias("down"), "vec_id", "key")
     slots = slots.groupBy("anchor_id", "anchor_key").agg(F.sort_array(F.collect_list(order)).alias("slots"))
-    found = best.join(limits, ["anchor_id", "anchor_key"]).join(slots, ["anchor_id", "anchor_key"])
+    found = best.join(limits.hint("merge"), ["anchor_id", "anchor_key"]).join(slots.hint("merge"), ["anchor_id", "anchor_key"])
     # Slots descend, so a window's best are the first of its own slot and the lower ones.
     own = F.array_position("limits", F.col("limit")) - 1
     window = F.slice(F.filter("slots", lambda s: s["slot"] >= own), 1, negatives)

@@ -59,6 +59,20 @@ def test_small_blocks_and_flushes_change_nothing(spark, rows, monkeypatch):
     assert got(negatives.mine(df, F.col("vec_id") % 10 == 0, 4, 2, 30, 90)) == want
 
 
+def test_nothing_is_broadcast(spark, rows, monkeypatch):
+    plans, stored = [], negatives.stored
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(negatives, "stored", seen)
+    found = negatives.mine(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 10 == 0)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert sum("Join" in p for p in plans) >= 3
+    assert not any("Broadcast" in p for p in plans)
+
+
 def test_few_rows(spark):
     one = spark.createDataFrame([(0, [1.0, 0.0], 1)], SCHEMA)
     assert got(negatives.mine(one, F.col("vec_id") >= 0)) == []
