@@ -13,6 +13,9 @@ characters follow them. States at the end of a word are neighbours, checked once
 Two words one edit apart agree in their first or in their last half, so a word takes its edit in
 its second half only, once forwards and once backwards. The edge that an edit takes is joined
 together with the step behind it, so no state is dealt to all children of a node.
+
+No table is broadcast: a word makes two states for each of its characters, which the planner, who
+sizes them as the words, does not see.
 """
 
 from __future__ import annotations
@@ -220,10 +223,10 @@ def near_words(words: DataFrame) -> DataFrame:
     found = []
     while True:
         if found:
-            met = states.join(steps, "key")
+            met = states.join(steps.hint("merge"), "key")
         else:
             other = F.col("s.letter").isNull() & F.col("e.letter").isNull() | (F.col("s.letter") != F.col("e.letter"))
-            met = states.alias("s").join(edges.alias("e"), (F.col("s.key") == F.col("e.key")) & other)
+            met = states.alias("s").join(edges.alias("e").hint("merge"), (F.col("s.key") == F.col("e.key")) & other)
         level = stored(met.select("word", "path", "child", "target"), "trie-level")
         found.append(level.where("target is not null").select("word", F.col("target").alias("near")))
         left = level.where("target is null")
@@ -250,12 +253,12 @@ def spelling_forms(counts: DataFrame, times: int = TIMES) -> DataFrame:
     counts = stored(counts.select("word", F.col("n").cast("long").alias("n")), "word-counts")
     near = near_words(counts)
     others = counts.select(F.col("word").alias("near"), F.col("n").alias("near_n"))
-    best = near.join(others, "near").groupBy("word").agg(
+    best = near.join(others.hint("merge"), "near").groupBy("word").agg(
         F.count("*").alias("n_near"), F.min(F.struct(-F.col("near_n"), "near")).alias("best")
     )
     best = best.select("word", "n_near", F.col("best.near").alias("near"), (-F.col("best.col1")).alias("near_n"))
     common = F.col("near_n") >= times * F.col("n")
-    forms = counts.join(best, "word", "left").select(
+    forms = counts.join(best.hint("merge"), "word", "left").select(
         "word",
         "n",
         F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
@@ -267,9 +270,9 @@ def spelling_forms(counts: DataFrame, times: int = TIMES) -> DataFrame:
     roots = forms.where("form is not null").select("word", F.col("form").alias("root"))
     while True:
         further = roots.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        joined = stored(roots.join(further, "root", "left"), "word-roots")
+        joined = stored(roots.join(further.hint("merge"), "root", "left"), "word-roots")
         roots = joined.select("word", F.coalesce("next", "root").alias("root"))
         if joined.where("next is not null").isEmpty():
             break
-    found = forms.join(roots, "word", "left")
+    found = forms.join(roots.hint("merge"), "word", "left")
     return found.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

@@ -96,6 +96,22 @@ def test_forms_match_brute_force_on_dense_and_long_words(spark):
     assert any(f and root != f for _, f, root, *_ in want)
 
 
+def test_nothing_is_broadcast(spark, monkeypatch):
+    plans, stored = [], variants.stored
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(variants, "stored", seen)
+    counts = spark.createDataFrame([("spelling", 100), ("speling", 5), ("spellings", 2)], "word string, n long")
+    found = variants.spelling_forms(counts)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert got(found) == [("speling", "spelling", "spelling", 5, 1, 100), ("spelling", None, "spelling", 100, 2, None), ("spellings", "spelling", "spelling", 2, 1, 100)]
+    assert sum("Join" in p for p in plans) >= 4
+    assert not any("Broadcast" in p for p in plans)
+
+
 def test_one_and_no_word(spark):
     one = spark.createDataFrame([("lonesome", 4)], "word string, n long")
     assert got(variants.spelling_forms(one)) == [("lonesome", None, "lonesome", 4, 0, None)]
