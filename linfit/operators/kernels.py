@@ -598,7 +598,9 @@ def roc_many_pass(batches: Batches) -> Batches:
         )
 
 
-SPARSE_SCHEMA = "rows long, unusable long, y binary, w binary, ends binary, at binary, x binary"
+SPARSE_SCHEMA = "rows long, unusable long, y binary, w binary, ends binary, places binary, at binary, x binary"
+# Numbers of one partial of a sparse pass; a model of more positions is added up in several.
+CHUNK = 1 << 14
 
 
 def _entries(indices: pa.ListArray, values: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -609,7 +611,10 @@ def _entries(indices: pa.ListArray, values: pa.ListArray) -> tuple[np.ndarray, n
 
 
 def sparse_packer(width: int) -> Callable[[Batches], Batches]:
-    """Rows of (label, weight, indices, values) to one compressed block per batch."""
+    """Rows of (label, weight, indices, values) to one compressed block per batch.
+
+    A block numbers the positions that it holds, so a pass over it is as wide as these.
+    """
 
     def block(batch: pa.RecordBatch) -> pa.RecordBatch:
         label, weight, indices, values = batch.columns
@@ -618,14 +623,15 @@ def sparse_packer(width: int) -> Callable[[Batches], Batches]:
         sizes, others = (pc.list_value_length(c).fill_null(-1).to_numpy() for c in (indices, values))
         unusable = int(np.count_nonzero(~((y == 0.0) | (y == 1.0)) | ~(w >= 0) | (sizes < 0) | (sizes != others)))
         unusable += indices.flatten().null_count + values.flatten().null_count
-        parts = [b""] * 5
+        parts = [b""] * 6
         if not unusable:
             ends, at, x = _entries(indices, values)
             unusable = int(np.count_nonzero((at < 0) | (at >= width) | ~np.isfinite(x)))
-            parts = [v.tobytes() for v in (y, w, ends, at, x)]
+            places, at = np.unique(at, return_inverse=True)
+            parts = [v.tobytes() for v in (y, w, ends, places, at.astype(np.int32), x)]
         columns = [pa.array([len(y)], pa.int64()), pa.array([unusable], pa.int64())]
         columns += [pa.array([p], pa.binary()) for p in parts]
-        return pa.RecordBatch.from_arrays(columns, names=["rows", "unusable", "y", "w", "ends", "at", "x"])
+        return pa.RecordBatch.from_arrays(columns, names=["rows", "unusable", "y", "w", "ends", "places", "at", "x"])
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -636,11 +642,24 @@ def sparse_packer(width: int) -> Callable[[Batches], Batches]:
 
 
 def _sparse_blocks(batches: Batches) -> Iterator[tuple[np.ndarray, ...]]:
-    kinds = {"y": np.float64, "w": np.float64, "ends": np.int64, "at": np.int32, "x": np.float64}
+    kinds = {"y": np.float64, "w": np.float64, "ends": np.int64, "places": np.int32, "at": np.int32, "x": np.float64}
     for batch in batches:
         for i in range(batch.num_rows):
-            y, w, ends, at, x = (np.frombuffer(batch.column(c)[i].as_buffer(), k) for c, k in kinds.items())
-            yield y, w, np.repeat(np.arange(len(y)), np.diff(ends, prepend=0)), at, x
+            y, w, ends, places, at, x = (np.frombuffer(batch.column(c)[i].as_buffer(), k) for c, k in kinds.items())
+            yield y, w, np.repeat(np.arange(len(y)), np.diff(ends, prepend=0)), places, at, x
+
+
+def sparse_chunks(sums: np.ndarray) -> Batches:
+    """Each row of ``sums`` in partials of ``CHUNK`` numbers, numbered on; without those that are all 0.
+
+    A batch holds one, so no vector as wide as the model is a row of the engine.
+    """
+    each = -(-sums.shape[1] // CHUNK)
+    for i, row in enumerate(sums):
+        for c in range(each):
+            part = row[c * CHUNK : (c + 1) * CHUNK]
+            if np.any(part):
+                yield partial_batch({i * each + c: part})
 
 
 def sparse_moments_pass(width: int) -> Callable[[Batches], Batches]:
@@ -648,11 +667,11 @@ def sparse_moments_pass(width: int) -> Callable[[Batches], Batches]:
 
     def run(batches: Batches) -> Batches:
         acc = np.zeros(2 * width + 2)
-        for _, w, row, at, x in _sparse_blocks(batches):
-            acc[:width] += np.bincount(at, w[row] * x, width)
-            acc[width : 2 * width] += np.bincount(at, w[row] * x * x, width)
+        for _, w, row, places, at, x in _sparse_blocks(batches):
+            acc[places] += np.bincount(at, w[row] * x, len(places))
+            acc[width + places] += np.bincount(at, w[row] * x * x, len(places))
             acc[2 * width :] += w.sum(), (w * w).sum()
-        yield partial_batch({0: acc})
+        yield from sparse_chunks(acc[None, :])
 
     return run
 
@@ -663,15 +682,15 @@ def sparse_logistic_pass(theta: np.ndarray, bias: np.ndarray) -> Callable[[Batch
 
     def run(batches: Batches) -> Batches:
         sums = np.zeros((len(theta), width + 2))
-        for y, w, row, at, x in _sparse_blocks(batches):
+        for y, w, row, places, at, x in _sparse_blocks(batches):
             for i, (weights, level) in enumerate(zip(theta, bias, strict=True)):
-                z = np.bincount(row, x * weights[at], len(y)) + level
+                z = np.bincount(row, x * weights[places][at], len(y)) + level
                 shrunk = np.exp(-np.abs(z))
                 residual = (np.where(z < 0, shrunk, 1.0) / (1.0 + shrunk) - y) * w
                 loss = np.maximum(np.where(y == 1.0, -z, z), 0.0) + np.log1p(shrunk)
-                sums[i, :width] += np.bincount(at, residual[row] * x, width)
+                sums[i, places] += np.bincount(at, residual[row] * x, len(places))
                 sums[i, width:] += residual.sum(), (w * loss).sum()
-        yield partial_batch(dict(enumerate(sums)))
+        yield from sparse_chunks(sums)
 
     return run
 

@@ -1,11 +1,13 @@
 """Limited-memory quasi-Newton steps for many fits that share passes over the data.
 
-The driver holds each fit's parameters and a short history; one call of ``evaluate`` is one job in
+The driver holds each fit's parameters and a short history, that of wide fits in unnamed temporary
+files; one call of ``evaluate`` is one job in
 which the trial points of all fits that have not stopped are measured together.
 """
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -22,10 +24,29 @@ SHORTER = (0.5, 0.125, 0.03125, 0.0078125)
 #: Times that shorter steps are tried before a fit is taken to be at its optimum.
 ATTEMPTS = 4
 
+#: Bytes from which on a remembered vector is kept in a file.
+FILED_BYTES = 1 << 23
+
 Measured = tuple[float, np.ndarray]
 Evaluate = Callable[[dict[int, list[np.ndarray]]], dict[int, list[Measured]]]
 
 
+class Kept:
+    """A vector of the history, in memory or in a file that goes with this object."""
+
+    def __init__(self, vector: np.ndarray):
+        self.vector, self.file = vector, None
+        if vector.nbytes >= FILED_BYTES:
+            self.vector, self.file = None, tempfile.TemporaryFile()
+            vector.tofile(self.file)
+
+    def read(self) -> np.ndarray:
+        if self.file is None:
+            return self.vector
+        self.file.seek(0)
+        return np.fromfile(self.file)
+
+
 @dataclass
 class Descent:
     """One fit: where it is, the points it wants measured, and whether it has stopped."""
@@ -33,8 +54,8 @@ class Descent:
     point: np.ndarray
     losses: list[float] = field(default_factory=list)
     gradient: np.ndarray | None = None
-    steps: list[np.ndarray] = field(default_factory=list)
-    changes: list[np.ndarray] = field(default_factory=list)
+    steps: list[Kept] = field(default_factory=list)
+    changes: list[Kept] = field(default_factory=list)
     trials: list[float] = field(default_factory=list)
     direction: np.ndarray | None = None
     attempts: int = 0
@@ -49,14 +70,16 @@ class Descent:
         """The two-loop recursion: minus the gradient, scaled by the curvature that was seen."""
         q = self.gradient.copy()
         shares = []
-        for s, y in zip(reversed(self.steps), reversed(self.changes), strict=True):
+        for kept in zip(reversed(self.steps), reversed(self.changes), strict=True):
+            s, y = (v.read() for v in kept)
             a = (s @ q) / (s @ y)
             q -= a * y
             shares.append(a)
         if self.steps:
-            s, y = self.steps[-1], self.changes[-1]
+            s, y = self.steps[-1].read(), self.changes[-1].read()
             q *= (s @ y) / (y @ y)
-        for s, y, a in zip(self.steps, self.changes, reversed(shares), strict=True):
+        for *kept, a in zip(self.steps, self.changes, reversed(shares), strict=True):
+            s, y = (v.read() for v in kept)
             q += (a - (y @ q) / (s @ y)) * s
         self.direction, self.attempts = -q, 0
         if self.direction @ self.gradient >= 0:  # the history misleads
@@ -82,8 +105,8 @@ class Descent:
                 return
             step, change = t * self.direction, gradient - self.gradient
             if step @ change > 1e-12 * np.linalg.norm(step) * np.linalg.norm(change):
-                self.steps = [*self.steps[1 - MEMORY :], step] if self.steps else [step]
-                self.changes = [*self.changes[1 - MEMORY :], change] if self.changes else [change]
+                self.steps = [*self.steps[1 - MEMORY :], Kept(step)]
+                self.changes = [*self.changes[1 - MEMORY :], Kept(change)]
             self.point, self.gradient = self.point + step, gradient
             self.losses.append(loss)
             gain = self.losses[-2] - loss

@@ -2,8 +2,8 @@
 
 An instance is (label, weight, indices, values): positions of the entries that are not zero. Blocks
 hold rows compressed, so memory follows the entries and not the width; gradients are as wide as the
-model. Columns are scaled by their deviation, never centred, which would fill them; the scaling is
-folded into the weights of the model.
+model and leave the tasks in pieces. Columns are scaled by their deviation, never centred, which
+would fill them; the scaling is folded into the weights of the model.
 """
 
 from __future__ import annotations
@@ -23,6 +23,9 @@ from linfit.operators import kernels
 from linfit.operators.moments import PARTIALS, part_sum, sum_partials
 from linfit.operators.quasi_newton import descend
 
+#: Numbers that one pass sends to and gathers from a task, or one point; more points take several passes.
+PASS_NUMBERS = 1 << 20
+
 
 def sparse_instances(
     df: DataFrame,
@@ -76,6 +79,16 @@ class SparseModel:
     losses: list[float] = field(default_factory=list)
 
 
+def _inverse(sums: np.ndarray, width: int) -> np.ndarray:
+    """Of each column's deviation; 0 for a column without any."""
+    whole, squares = sums[-2], sums[-1]
+    first, second = sums[:width], sums[width : 2 * width]
+    free = whole - squares / whole
+    variance = (second - first * first / whole) / free if free > 0 else np.zeros(width)
+    deviation = np.sqrt(np.where(variance > 1e-14 * second / whole, variance, 0.0))
+    return np.where(deviation > 0, 1.0 / np.where(deviation > 0, deviation, 1.0), 0.0)
+
+
 def sparse_logistic_fit(
     instances: DataFrame,
     width: int,
@@ -106,32 +119,36 @@ def sparse_logistic_fit(
             raise ValueError("no instances to fit on")
         if facts.unusable:
             raise ValueError(f"{facts.unusable} rows have an unusable label, weight or entry")
-        blocks, total = packed.select("y", "w", "ends", "at", "x"), part_sum()
+        blocks, total = packed.select("y", "w", "ends", "places", "at", "x"), part_sum()
 
-        def add(kernel) -> dict[int, np.ndarray]:
+        def add(kernel, rows: int, numbers: int) -> np.ndarray:
+            """The sums of a pass, put together from the partials that ``sparse_chunks`` cut them into."""
             partials = blocks.mapInArrow(kernel, PARTIALS)
-            return {r.fit: np.array(r.part) for r in sum_partials(partials, facts.partitions, total).collect()}
-
-        sums = add(kernels.sparse_moments_pass(width))[0]
-        whole, squares = sums[-2], sums[-1]
+            out, each = np.zeros((rows, numbers)), -(-numbers // kernels.CHUNK)
+            for batch in sum_partials(partials, facts.partitions, total).toArrow().to_batches():
+                for fit, part in zip(batch.column("fit").to_pylist(), batch.column("part")):
+                    i, start = fit // each, fit % each * kernels.CHUNK
+                    out[i, start : start + len(part)] = part.values.to_numpy(zero_copy_only=False)
+            return out
+
+        sums = add(kernels.sparse_moments_pass(width), 1, 2 * width + 2)[0]
+        whole = float(sums[-2])
         if whole <= 0:
             raise ValueError("all weights are 0")
-        inverse = np.ones(width)
-        if standardize:
-            first, second = sums[:width], sums[width : 2 * width]
-            free = whole - squares / whole
-            variance = (second - first * first / whole) / free if free > 0 else np.zeros(width)
-            deviation = np.sqrt(np.where(variance > 1e-14 * second / whole, variance, 0.0))
-            inverse = np.where(deviation > 0, 1.0 / np.where(deviation > 0, deviation, 1.0), 0.0)
+        inverse = _inverse(sums, width) if standardize else np.ones(width)
+        del sums
+
+        together = max(1, PASS_NUMBERS // width)
 
         def evaluate(points: dict[int, list[np.ndarray]]):
-            trials = points[0]
-            found = add(kernels.sparse_logistic_pass(np.stack([p[:-1] * inverse for p in trials]), np.array([p[-1] for p in trials])))
             out = []
-            for i, p in enumerate(trials):
-                slope, level, loss = found[i][:width] * inverse, found[i][width], found[i][width + 1]
-                gradient = np.append(slope / whole + l2 * p[:-1], level / whole)
-                out.append((float(loss / whole + 0.5 * l2 * (p[:-1] @ p[:-1])), gradient))
+            for start in range(0, len(points[0]), together):
+                trials = points[0][start : start + together]
+                kernel = kernels.sparse_logistic_pass(np.stack([p[:-1] * inverse for p in trials]), np.array([p[-1] for p in trials]))
+                for p, found in zip(trials, add(kernel, len(trials), width + 2), strict=True):
+                    slope, level, loss = found[:width] * inverse, found[width], found[width + 1]
+                    gradient = np.append(slope / whole + l2 * p[:-1], level / whole)
+                    out.append((float(loss / whole + 0.5 * l2 * (p[:-1] @ p[:-1])), gradient))
             return {0: out}
 
         fit = descend([np.zeros(width + 1)], evaluate, max_iter, tol)[0]

@@ -1,9 +1,11 @@
 """Sparse weighted fits against dense ones and the library."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from linfit.operators import kernels, quasi_newton, sparse
 from linfit.operators.logistic import logistic_native
 from linfit.operators.sparse import (
     sparse_instances,
@@ -71,6 +73,42 @@ def test_hundred_thousand_categories(spark):
     assert model.losses[-1] < 0.2 < model.losses[0]
 
 
+def test_wide_sums_leave_tasks_in_pieces(monkeypatch):
+    monkeypatch.setattr(kernels, "CHUNK", 1000)
+    rng, width = np.random.default_rng(5), 50_000
+    at = rng.choice(width, (300, 2)).astype(np.int32)
+    y, w, x = (rng.random(300) < 0.5).astype(float), rng.random(300), rng.normal(size=(300, 2))
+    lists = (pa.array(list(v), pa.list_(k)) for v, k in ((at, pa.int32()), (x, pa.float64())))
+    rows = pa.RecordBatch.from_arrays([pa.array(y), pa.array(w), *lists], names=["label", "weight", "indices", "values"])
+    blocks = list(kernels.sparse_packer(width)(iter([rows])))
+    assert len(blocks[0].column("places")[0].as_buffer()) == 4 * len(np.unique(at))
+    theta, bias = rng.normal(size=(2, width)), np.array([0.1, -0.2])
+    found = list(kernels.sparse_logistic_pass(theta, bias)(iter(blocks)))
+    assert all(len(v) <= 1000 for b in found for v in b.column("part")) and max(b.num_rows for b in found) == 1
+    got = np.zeros((2, 51 * 1000))
+    for b in found:
+        fit, part = b.column("fit")[0].as_py(), b.column("part")[0].values.to_numpy()
+        got[fit // 51, fit % 51 * 1000 :][: len(part)] = part
+    p = 1 / (1 + np.exp(-((x * theta[:, at]).sum(axis=2) + bias[:, None])))
+    want = np.zeros((2, width))
+    for i in range(2):
+        np.add.at(want[i], at, ((p[i] - y) * w)[:, None] * x)
+    assert np.allclose(got[:, :width], want, atol=1e-12)
+    assert np.allclose(got[:, width], ((p - y) * w).sum(axis=1), atol=1e-12)
+
+
+def test_pieces_passes_and_files_change_nothing(raw, monkeypatch):
+    rows = sparse_instances(raw, "label", ["a", "b"], KINDS, "w")
+    whole = sparse_logistic_fit(rows, 9, l2=0.01, max_iter=300, tol=1e-14)
+    # Functions that go to the tasks take the size along; the driver reads it from the module.
+    monkeypatch.setattr(kernels, "CHUNK", 4)
+    monkeypatch.setattr(sparse, "PASS_NUMBERS", 1)
+    monkeypatch.setattr(quasi_newton, "FILED_BYTES", 1)
+    pieces = sparse_logistic_fit(rows, 9, l2=0.01, max_iter=300, tol=1e-14)
+    assert np.allclose(pieces.theta, whole.theta, atol=1e-6)
+    assert pieces.intercept == pytest.approx(whole.intercept, abs=1e-6)
+
+
 def test_bad_rows_and_parameters_raise(spark, raw):
     schema = "label double, weight double, indices array<int>, values array<double>"
     good = (1.0, 1.0, [0], [2.0])
